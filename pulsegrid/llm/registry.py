@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, packing, sharding
+from . import decontaminate, fingerprint, jaccard_join, packing, sharding
 
 QUERIES = {
     "op4_packing": packing.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_sharding": sharding.query,
     "op7_document_fingerprints": fingerprint.query,
+    "op10_ngram_jaccard_join": jaccard_join.query,
 }
 
 ORACLES = {
