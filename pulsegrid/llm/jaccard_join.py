@@ -16,6 +16,7 @@ from heapq import heapify, heapreplace, heappop
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

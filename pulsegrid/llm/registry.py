@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, jaccard_join, packing, sharding
+from . import decontaminate, fingerprint, jaccard_join, packing, sharding, substring_dedup
 
 QUERIES = {
     "op4_packing": packing.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_sharding": sharding.query,
     "op7_document_fingerprints": fingerprint.query,
+    "op8_substring_dedup": substring_dedup.query,
     "op10_ngram_jaccard_join": jaccard_join.query,
 }
 
 ORACLES = {
     "op5_benchmark_decontamination": decontaminate.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
 }
