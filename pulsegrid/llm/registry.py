@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, jaccard_join, packing, sharding, substring_dedup
+from . import decontaminate, fingerprint, jaccard_join, packing, quality_rules, sharding, substring_dedup
 
 QUERIES = {
+    "op3_quality_classifier": quality_rules.query,
     "op4_packing": packing.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op6_sharding": sharding.query,
