@@ -1,11 +1,80 @@
-"""Corpus preparation in stages."""
+"""Corpus preparation: quality, near duplicates, repeated passages, benchmark passages, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, of the columns of docs except the last. A
+stage's docs are what its predecessor wrote, so nothing is computed twice and a lost executor repeats
+one stage at most. Rows without doc_id and repeated rows pass as the operators define it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegrid.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
+from pulsegrid.llm.tables import cut_lineage, table, written
+
+#: Ids up to this many (8 bytes each) are broadcast, more are joined by a shuffle.
+BROADCAST_IDS = 4_000_000
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labels that are not held out."""
+    return quality_rules.keep_good(docs, quality_rules.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near duplicates; documents without words stay.
+
+    Of rows that share an id one stays. A row without an id goes if its group has an id, else it stays.
+    """
+    found = cut_lineage(jaccard_join.jaccard_groups(docs))
+    known = F.col("doc_id").isNotNull()
+    gone = found.where(known & (F.col("n_shingles") > 0) & (F.col("component_id") != F.col("doc_id"))).select("doc_id").distinct()
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    if not found.where(known).groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.where(known).dropDuplicates(["doc_id"]).unionByName(kept.where(~known))
+    return kept
+
+
+def _others(docs: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in docs.columns if c != "text")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without words that repeat earlier passages; documents of which nothing is left go."""
+    cut = substring_dedup.dedup_substrings(docs, as_is=True, carry=_others(docs))
+    left = cut.where((F.col("n_removed") == 0) | (F.col("kept") != "")).withColumn("text", F.col("kept"))
+    size = F.when(F.col("n_removed") > 0, F.char_length("kept")).otherwise(F.col("carried.n_chars")).cast("long")
+    return left.select(*[F.col(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(f"carried.`{c}`") for c in docs.columns])
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    spans = decontaminate.benchmark_spans(docs, table(spark, sf_dir, "benchmark"), keep_text=True, carry=_others(docs))
+    return spans.where("n_hit = 0").select(*[F.col(c) if c == "text" else F.col(f"carried.`{c}`") for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens, with their ids and the ids' digest."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark_passages", benchmark_passages),
+    ("packing", pack),
+]
+
+#: Fitted rules and near-duplicate groups are beyond SQL; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each but the last is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

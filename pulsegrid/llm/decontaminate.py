@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import blocks_for, cut_lineage, id_and_text
+from .tables import blocks_for, cut_lineage, id_and_text, with_carried
 
 #: Bytes as the contract's word class sees them: A-Z lowered, other ASCII but a-z and 0-9 separate, the rest kept.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -101,11 +101,11 @@ _SPANS = pa.list_(pa.list_(pa.int64()))
 _SCHEMA = "doc_id long, text string, n_words long, spans array<array<long>>, item_ids array<string>"
 
 
-def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = 8_000_000, keep_text: bool = False) -> DataFrame:
+def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = 8_000_000, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Where windows of benchmark items occur in documents.
 
     Returns a row per input row: doc_id, n_words, n_hit (words inside any occurrence), spans
-    (merged word ranges [start, end)), item_ids (distinct, sorted as strings), and text if asked.
+    (merged word ranges [start, end)), item_ids (distinct, sorted as strings), and text or a struct of columns to carry if asked.
 
     Null or empty text has no words, spans or items. An item without words matches nothing; an
     item without an id counts as hit but is not listed. Repeated documents or items each count as
@@ -115,15 +115,17 @@ def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
     """
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     n_blocks = blocks_for(items.agg(F.sum(F.length("text"))).first()[0] or 0, block_chars)
-    out = id_and_text(docs, id_col, text_col).select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
+    rows = id_and_text(docs, id_col, text_col, carry)
+    schema = with_carried(_SCHEMA, rows)
+    out = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
     for k in range(n_blocks):
         part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
-        rows = [(r.item, r.text) for r in part.collect()]  # bounded by block_chars
-        out = out.mapInArrow(_pass(rows, window, keep_text or k + 1 < n_blocks), _SCHEMA)
+        patterns = [(r.item, r.text) for r in part.collect()]  # bounded by block_chars
+        out = out.mapInArrow(_pass(patterns, window, keep_text or k + 1 < n_blocks), schema)
         if n_blocks > 1:
             out = cut_lineage(out)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return out.select("doc_id", *["text"] * keep_text, "n_words", n_hit.alias("n_hit"), "spans", "item_ids")
+    return out.select("doc_id", *["text"] * keep_text, "n_words", n_hit.alias("n_hit"), "spans", "item_ids", *["carried"] * bool(carry))
 
 
 def _pass(rows: list[tuple[str, str | None]], window: int, keep_text: bool):
@@ -140,7 +142,9 @@ def _pass(rows: list[tuple[str, str | None]], window: int, keep_text: bool):
                     spans.append(_merged(before + new) if before else new)
                     items.append(sorted({*known, *(x for x in hit if x is not None)}))
                 text = batch["text"] if keep_text else pa.nulls(batch.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], text, pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "item_ids"])
+                extra = ["carried"] * ("carried" in batch.schema.names)
+                columns = [batch["doc_id"], text, pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string())), *[batch[c] for c in extra]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "item_ids", *extra])
 
     return run
 

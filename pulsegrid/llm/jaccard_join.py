@@ -11,8 +11,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
-from heapq import heapify, heapreplace, heappop
+from heapq import heapify, heappop
 
 import numpy as np
 import pyarrow as pa
@@ -164,13 +165,16 @@ class Index:
         self.at = np.zeros(n_tokens + 1, np.int64)
         np.cumsum(np.bincount(token, minlength=n_tokens), out=self.at[1:])
 
-    def lists(self, tokens: np.ndarray, low: int, high: int) -> list[np.ndarray]:
-        """Non-empty parts of the tokens' lists within [low, high)."""
+    def lists(self, tokens: np.ndarray, low: int, high: int, skip: np.ndarray | None = None) -> list[np.ndarray]:
+        """Non-empty parts of the tokens' lists within [low, high), without the sets to skip."""
         out = []
         for a, b in zip(self.at[tokens].tolist(), self.at[tokens + 1].tolist(), strict=True):
             if a < b:
                 x = self.postings[a:b]
-                x = x[np.searchsorted(x, low) : np.searchsorted(x, high)]
+                if x[0] < low or x[-1] >= high:
+                    x = x[np.searchsorted(x, low) : np.searchsorted(x, high)]
+                if skip is not None and len(x):
+                    x = x[~skip[x]]
                 if len(x):
                     out.append(x)
         return out
@@ -189,23 +193,29 @@ def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> It
     short, long = lists[: len(lists) - long_n], lists[len(lists) - long_n :][::-1]
     need = least - long_n
     if sum(map(len, short)) > 30_000:  # dense lists: counting beats a heap
-        numbers, counts = np.unique(np.concatenate(short), return_counts=True)
-        merged: Iterator[tuple[int, int]] = zip(numbers[counts >= need].tolist(), counts[counts >= need].tolist(), strict=True)
+        sums = np.bincount(np.concatenate(short))
+        numbers = np.flatnonzero(sums >= need)
+        counts = sums[numbers]
     else:
-        merged = _heap_merge([x.tolist() for x in short], need)
-    for number, count in merged:
-        for k, x in enumerate(long):
-            if count + len(long) - k < least:
-                break
-            p = int(np.searchsorted(x, number))
-            count += p < len(x) and int(x[p]) == number
-        if count >= least:
-            yield number, count
+        merged = list(_heap_merge([x.tolist() for x in short], need))
+        numbers, counts = np.array([n for n, _ in merged], np.int64), np.array([c for _, c in merged], np.int64)
+    scanned = [x for x in long if len(x) <= 4 * len(numbers)]  # as many candidates as entries: reading is cheaper than probing
+    if scanned:
+        sums = np.bincount(np.concatenate(scanned), minlength=int(numbers[-1]) + 1)
+        counts = counts + sums[numbers]
+        long = [x for x in long if len(x) > 4 * len(numbers)]
+    for k, x in enumerate(long):  # all candidates left are looked for in a list at once
+        able = counts + (len(long) - k) >= least
+        if not able.all():
+            numbers, counts = numbers[able], counts[able]
+        if not len(numbers):
+            return
+        counts = counts + (x[np.minimum(np.searchsorted(x, numbers), len(x) - 1)] == numbers)
+    able = counts >= least
+    yield from zip(numbers[able].tolist(), counts[able].tolist(), strict=True)
 
 
 def _heap_merge(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
-    from bisect import bisect_left
-
     heap = [(x[0], k, 0) for k, x in enumerate(lists)]
     heapify(heap)
     while len(heap) >= need:
@@ -246,7 +256,8 @@ def link_sets(sizes: np.ndarray, sets: list[np.ndarray], percent: int, sides: np
     own = [np.sort(token[e - k : e]) for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
     owner = np.repeat(np.arange(count), lengths)
     index = {s: Index(owner[m], token[m], len(names)) for s in (0, 1) for m in [np.ones(len(owner), bool) if sides is None else sides[owner] == s]} if sides is not None else {0: Index(owner, token, len(names))}
-    giant, giant_size, rest, pivot = -1, 32, index, -1
+    giant, giant_size, rest, pivot = -1, 64, index, -1  # the largest component, and an index without most of it
+    inside = np.zeros(count, bool)  # sets known to be in it
 
     def overlap_needed(a: int, b: int) -> int:
         return -(-percent * int(sizes[a] + sizes[b]) // (100 + percent))
@@ -264,15 +275,16 @@ def link_sets(sizes: np.ndarray, sets: list[np.ndarray], percent: int, sides: np
         in_giant = giant >= 0 and mine == forest.find(giant)
         found = (rest if in_giant else index)[0 if sides is None else 1 - int(sides[q])]
         least = -(-percent * int(sizes[q] + sizes[low]) // (100 + percent))
-        for c, n in divide_skip(found.lists(own[q], low, q), least):
+        for c, n in divide_skip(found.lists(own[q], low, q, inside if in_giant else None), least):
             if forest.find(c) != forest.find(q) and n >= overlap_needed(q, c):
                 forest.union(q, c)
         root = forest.find(q)
         if giant >= 0 and root == forest.find(giant):
-            pivot = q
-        if forest.size[root] >= 2 * giant_size:
+            pivot, inside[q] = q, True
+        if forest.size[root] >= 1.3 * giant_size:
             giant, giant_size, pivot = root, forest.size[root], q
-            outside = np.fromiter((forest.find(k) != root for k in range(count)), bool, count)[owner]
+            inside = np.fromiter((forest.find(k) == root for k in range(count)), bool, count)
+            outside = ~inside[owner]
             rest = {s: Index(owner[m], token[m], len(names)) for s in index for m in [outside if sides is None else outside & (sides[owner] == s)]}
     return [(k, forest.find(k)) for k in range(count) if forest.find(k) != k]
 

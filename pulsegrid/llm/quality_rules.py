@@ -168,16 +168,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS,
     return RuleModel.fit(got[list(found)].to_numpy(float), got["y"].to_numpy(float), list(found))
 
 
-def score_quality(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score (0 to 1), predicted (1 from the threshold on), and columns to keep.
+def scored(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, score, and a struct of columns to carry if asked."""
+    rows = id_and_text(docs, id_col, text_col, carry)
+    found = rows.select("doc_id", *["carried"] * bool(carry), *[c.alias(n) for n, c in statistics(F.col("text")).items()])
+    return found.select("doc_id", model.column().alias("score"), *["carried"] * bool(carry))
+
+
+def score_quality(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, score (0 to 1), predicted (1 from the threshold on) for every row.
 
     Null and empty texts are scored from statistics that are all 0. Null ids and repeated rows are
     scored like others. No shuffle.
     """
-    held = [F.col(f"`{c}`").alias(f"__kept_{k}") for k, c in enumerate(keep)]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *held, *[c.alias(n) for n, c in statistics(F.col("text").cast("string")).items()])
-    scored = rows.withColumn("score", model.column())
-    return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *[F.col(f"__kept_{k}").alias(c) for k, c in enumerate(keep)])
+    return scored(docs, model, id_col=id_col, text_col=text_col).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7) -> DataFrame:
+    """Rows that score at least the threshold, with the columns they came with."""
+    return scored(docs, model, carry=tuple(docs.columns)).where(F.col("score") >= threshold).select("carried.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

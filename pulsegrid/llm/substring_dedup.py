@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
-from .tables import blocks_for, id_and_text
+from .tables import blocks_for, id_and_text, with_carried
 
 _LAST = np.iinfo(np.int64).max
 _SENT = "bucket int, block long, tokens binary, checks binary, docs binary, places binary, ids binary, keys binary"
@@ -208,47 +208,54 @@ def repeats(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), ends.tolist(), strict=True))
 
 
-def _cut(length: int, lower: bool = False):
+_CUT = "doc_id long, n_words long, n_removed long, kept string, repeats array<array<long>>"
+
+
+def _cut(length: int, as_is: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1000):
             n_words, n_removed, kept, spans = [], [], [], []
             for text, places in zip(part["text"].to_pylist(), part["places"].to_pylist(), strict=True):
-                words = words_of(text, lower)
+                words = words_of(text, False)
                 found = repeats(np.frombuffer(places, "<u4").astype(np.int64), length) if places else []
                 n_words.append(len(words))
                 n_removed.append(sum(e - s for s, e in found))
                 for s, e in reversed(found):
                     del words[s:e]
-                kept.append(b" ".join(words).decode())
+                kept.append(text if as_is and not found else b" ".join(words).decode())
                 spans.append([list(x) for x in found])
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["doc_id", "n_words", "n_removed", "kept", "repeats"])
+            extra = ["carried"] * ("carried" in part.schema.names)
+            columns = [part["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*columns, *[part[c] for c in extra]], ["doc_id", "n_words", "n_removed", "kept", "repeats", *extra])
 
     return run
 
 
-def dedup_substrings(docs: DataFrame, *, length: int = 20, seed: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_substrings(docs: DataFrame, *, length: int = 20, seed: int = 8, id_col: str = "doc_id", text_col: str = "text", as_is: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Removes words covered by a window of length words that also starts earlier.
 
     Earlier means a smaller doc_id, or the same doc_id and an earlier start; windows are judged on the input.
-    Returns a row per input row: doc_id, n_words, n_removed, kept (the words left, joined by one space),
-    repeats (maximal removed word ranges [start, end)).
+    Returns a row per input row: doc_id, n_words, n_removed, kept (the words left, joined by one space; with as_is
+    the text itself where nothing was removed), repeats (maximal removed word ranges [start, end)), and a
+    struct of columns to carry if asked.
 
     Null text has no words; texts shorter than a window lose nothing. Rows without id count as one document
     after all others. Rows equal in id and text do not remove each other. An empty table gives no rows.
     The text is shuffled once; both joins reuse that exchange.
     """
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"))
+    rows = id_and_text(docs, id_col, text_col, carry).select("*", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_document = "k1 long, k2 long, places binary"
-    sent = rows.mapInArrow(_seed(length, seed, blocks_for(chars, 64_000_000, least)), _SENT)
+    sent = rows.select("text", "k1", "k2").mapInArrow(_seed(length, seed, blocks_for(chars, 64_000_000, least)), _SENT)
     met = sent.groupBy("bucket").applyInArrow(_meet, _BACK)
     seeds = met.groupBy("block").applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
-    windows = rows.join(seeds, ["k1", "k2"]).select("doc_id", "text", "k1", "k2", "places").mapInArrow(_extend(length, seed, blocks_for(chars, 24_000_000, least)), _SENT)
+    met_rows = rows.join(seeds, ["k1", "k2"])
+    windows = met_rows.mapInArrow(_extend(length, seed, blocks_for(chars, 24_000_000, least)), _SENT)
     later = windows.groupBy("bucket").applyInArrow(_earlier, _BACK)
     covered = later.groupBy("block").applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
-    judged = rows.join(covered, ["k1", "k2"], "left").select("doc_id", "text", "places")
-    return judged.mapInArrow(_cut(length), "doc_id long, n_words long, n_removed long, kept string, repeats array<array<long>>")
+    judged = rows.join(covered, ["k1", "k2"], "left").drop("k1", "k2")
+    return judged.mapInArrow(_cut(length, as_is), with_carried(_CUT, rows))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,9 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator needs, so other columns cannot clash with its own."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Only the two columns an operator needs, so other columns cannot clash with its own.
+
+    Columns to carry along travel in one struct, carried.
+    """
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *carried)
+
+
+def with_carried(ddl: str, rows: DataFrame) -> StructType:
+    """Schema of a function over Arrow batches that hands the struct carried on, if rows have it."""
+    schema = StructType.fromDDL(ddl)
+    return schema.add(rows.schema["carried"]) if "carried" in rows.columns else schema
 
 
 def held_out(doc_id: Column) -> Column:
@@ -23,17 +35,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2, F.lit(False))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that spark.checkpoint.dir names.
-
-    A folder of this machine is chosen only where the session names none, as in tests.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; one of this machine only where the session names none, as in tests."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pulsegrid-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A table written in the shared folder and read again; it stays there for the application's later reads."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def blocks_for(amount: float, per_block: float, least: int = 1) -> int:
     """Number of blocks that keeps each at about per_block; grows in proportion to the input."""
     return max(least, int(-(-amount // per_block)) if amount else least)
