@@ -14,7 +14,7 @@ from ..sources import export, sinks
 
 _NUMBERS = [c for family, columns in VALUE_COLUMNS.items() if family != "daily_summary" for c in columns if c != "voltage_measurements"]
 _KINDS = dict.fromkeys(_NUMBERS, "numeric") | {"category": "categorical", "voltage_measurements": "vector"}
-_ORDER = F.struct("file", "row_idx", "pos")
+_PLACE = ("file", "row_idx", "pos")
 
 
 def windowed(records: DataFrame, width: str | None = "5min") -> DataFrame:
@@ -23,11 +23,11 @@ def windowed(records: DataFrame, width: str | None = "5min") -> DataFrame:
     Everything is recomputed from un-aggregated records, so adding files gives the same result as one run over all.
     """
     summary = records.where(F.col("name") == DAILY_SUMMARY)
-    summary = daily_summary(summary.drop("start_date", "end_date"), ["participant_id", "name", "datetime"], VALUE_COLUMNS["daily_summary"], _ORDER)
+    summary = daily_summary(summary.drop("start_date", "end_date"), ["participant_id", "name", "datetime"], VALUE_COLUMNS["daily_summary"], F.struct(*_PLACE))
     events = dedupe(records.where(F.col("name") != DAILY_SUMMARY), ["participant_id", "name", "file", "row_idx", "start_date", "end_date"], _KINDS, F.col("pos"))
     if width:
         rows = spread(events, width, values=_NUMBERS, cumulative=CUMULATIVE)
-        events = dedupe(rows, ["participant_id", "name", "start_date", "end_date"], _KINDS, _ORDER)
+        events = dedupe(rows, ["participant_id", "name", "start_date", "end_date"], _KINDS, F.struct(*_PLACE))
     return events.unionByName(summary, allowMissingColumns=True)
 
 
