@@ -133,7 +133,8 @@ def _to_documents(table: pa.Table) -> pa.Table:
         place = np.concatenate([unpack(p, "<u4") for _, p in sent])
         order = np.lexsort((place, doc))
         doc, place = doc[order], place[order]
-        for d, some in zip(np.unique(doc).tolist(), np.split(place, np.flatnonzero(np.diff(doc)) + 1), strict=True):
+        cuts = np.flatnonzero(np.diff(doc)) + 1
+        for d, some in zip(np.unique(doc).tolist(), np.split(place, cuts) if len(doc) else [], strict=True):
             k1.append(int(pairs[d, 0]))
             k2.append(int(pairs[d, 1]))
             places.append(some.astype("<u4").tobytes())
