@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..catalog import IGNORED
 from ..functions.literals import literal_records
@@ -15,31 +18,37 @@ RAW = "name string, data string, data_source string, participant_id string, date
 NUMBERS = ("value", "blood_pressure_systolic_value", "blood_pressure_diastolic_value", "average_heart_rate", "sampling_frequency", "apple_stand_hours", "apple_exercise_time", "active_energy_burned", "apple_stand_hours_goal", "apple_exercise_time_goal", "active_energy_burned_goal")
 
 
+#: Different header lines a tree may have; each is one more pass over the files.
+MAX_HEADERS = 100
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw rows of all participants with file, participant_dir and row place; log files are left out.
 
-    Columns are taken by name, missing ones are null, unreadable files are skipped.
+    Columns are taken by name, missing ones are null, unreadable files are skipped. Headers are found with one
+    grouped pass over first lines, never file by file on the driver.
     """
-    found = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("ignoreCorruptFiles", True).option("enforceSchema", False)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path).select("path")
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for row in files.select("path").where(~F.regexp_extract("path", r"([^/]+)$", 1).startswith("logfile")).toLocalIterator():  # names only, streamed
-        headers.setdefault(tuple(_header(spark, row.path)), []).append(row.path)
+    files = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv", "ignoreCorruptFiles": True}
+    file = F.col("_metadata.file_path").alias("file")
+    no_log = ~F.regexp_extract("file", r"([^/]+)$", 1).startswith("logfile")
+    lines = spark.read.options(**files).text(path).select("value", file, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
+    heads = lines.where(no_log).groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    headers = [r.header for r in heads.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers under {path}")
     wanted = [f.strip().split(" ")[0] for f in RAW.split(",")]
     out = spark.createDataFrame([], f"{RAW}, file string, participant_dir string, row_idx long")
-    for columns, paths in headers.items():
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        part = found.schema(schema).csv(paths).select("*", F.col("_metadata.file_path").alias("__file"))
-        part = part.select(*[F.col(f"`{c}`") if c in columns else F.lit(None).cast("string").alias(c) for c in wanted], F.col("__file").alias("file"), parent(F.col("__file")).alias("participant_dir"), F.monotonically_increasing_id().alias("row_idx"))
+    for header in headers:
+        columns = next(csv.reader([header]))
+        schema = StructType([StructField(c, StringType()) for c in columns])
+        part = spark.read.options(header=True, multiLine=True, escape='"', **files).schema(schema).csv(path).select("*", file.alias("__file"))
+        part = part.select(*[F.col(f"`{c}`") if c in columns else F.lit(None).cast("string").alias(c) for c in wanted], F.col("__file").alias("file"), parent(F.col("__file")).alias("participant_dir"), F.monotonically_increasing_id().alias("row_idx")).where(no_log)
+        if len(headers) > 1:
+            part = part.join(heads.where(F.col("header") == header).select("file"), "file", "left_semi")
         out = out.unionByName(part)
     return out
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.option("multiLine", True).option("escape", '"').csv(path).limit(1).collect()
-    return [str(c) for c in first[0] if c is not None] if first else []
-
-
 def parse_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records, rejects): one row per record of a literal; rejected raw rows with the reason.
 
