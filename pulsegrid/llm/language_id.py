@@ -11,13 +11,14 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import held_out, id_and_text
+from .tables import held_out, id_and_text, most_frequent
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -79,21 +80,21 @@ class LanguageModel:
         self.grams = {g: tuple(np.log((c + 0.5) / (mass + 0.5 * len(grams))).tolist()) for g, c in grams.items()}
         self.no_gram = tuple(np.log(0.5 / (mass + 0.5 * max(1, len(grams)))).tolist())
         allowed = np.sum(list(self.scripts.values()), axis=0) if self.scripts else np.ones(n)
-        self.candidates = {s: c > 0.001 * allowed for s, c in self.scripts.items()}
+        self.candidates = {s: (c > 0.001 * allowed).tolist() for s, c in self.scripts.items()}
 
-    def word_scores(self, word: str) -> np.ndarray:
+    def word_scores(self, word: str) -> list[float]:
         """Log scores per language, 0 for the best and not below the floor; equal if the script rules out all."""
         may = self.candidates.get(script_of(word))
-        if may is None or not may.any():
-            return np.zeros(len(self.languages), np.float32)
+        if may is None or not any(may):
+            return [0.0] * max(1, len(self.languages))
         counts = self.words.get(word)
         if counts is not None:
-            out = np.log((counts + 0.1) / (self.totals + 1))
+            out = np.log((counts + 0.1) / (self.totals + 1)).tolist()
         else:
-            grams = _trigrams(word)
-            out = np.sum([self.grams.get(g, self.no_gram) for g in grams], axis=0)
-        out = np.where(may, out, -np.inf)
-        return np.maximum(out - out.max(), self.floor).astype(np.float32)
+            get, none = self.grams.get, self.no_gram
+            out = [sum(x) for x in zip(*[get(g, none) for g in _trigrams(word)], strict=True)]
+        top = max(x for x, ok in zip(out, may, strict=True) if ok)
+        return [max(x - top, self.floor) if ok else self.floor for x, ok in zip(out, may, strict=True)]
 
 
 class Scorer(dict):
@@ -123,6 +124,17 @@ class Scorer(dict):
         return self.table[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer_for(key: str, make) -> Scorer:
+    """One scorer for each model and worker process, so tasks share what it has worked out."""
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(make())
+    return _scorers[key]
+
+
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """Best language per word. Where no stretch gains more than the penalty over the best single language, that one
     is the best path, and the step by step search is not needed."""
@@ -180,7 +192,9 @@ def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str =
     """Counts all words of the rows given, by language. The most frequent words, a bounded number, reach the driver."""
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("text is not null and lang is not null")
     counts = rows.mapInArrow(_count, "word string, lang string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    top = counts.groupBy("word").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.desc("total"), "word").limit(vocabulary + 1).collect()
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    totals = counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    top = most_frequent(totals, chars, vocabulary + 1, 3e-8)
     languages = sorted({x for r in top for x in r.by})
     vector = lambda by: np.array([by.get(x, 0) for x in languages], float)
     totals = next((vector(r.by) for r in top if r.word == ""), np.zeros(len(languages)))
@@ -196,10 +210,11 @@ def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id
     are handled like others. No shuffle.
     """
     languages, totals, words = model.languages, model.totals, model.words
+    key = uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast((languages, totals, words))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(LanguageModel(*shared.value))
+        scorer = scorer_for(key, lambda: LanguageModel(*shared.value))
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 part = whole.slice(at, 500)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import slices, words_of
-from .tables import id_and_text
+from .tables import id_and_text, most_frequent
 
 _PLACES = (-2, -1, 1, 2)
 
@@ -123,7 +123,8 @@ def count_words(docs: DataFrame, size: int) -> Vocabulary:
             yield _counted(counts)
 
     counted = docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "word").limit(size + 1).collect()
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    rows = most_frequent(counted, chars, size + 1, 1e-7)
     total = sum(r.n for r in rows if not r.word)  # the empty word counts all
     top = [r for r in rows if r.word]
     return Vocabulary([bytes(r.word) for r in top], np.array([r.n for r in top], float), float(total - sum(r.n for r in top)))

@@ -59,3 +59,12 @@ def written(df: DataFrame) -> DataFrame:
 def blocks_for(amount: float, per_block: float, least: int = 1) -> int:
     """Number of blocks that keeps each at about per_block; grows in proportion to the input."""
     return max(least, int(-(-amount // per_block)) if amount else least)
+
+
+def most_frequent(counts: DataFrame, chars: int, limit: int, share: float) -> list:
+    """At most limit rows of (word, n, ...) with the greatest n, ties by word.
+
+    Only words that occur share times per character or more are looked at. Texts of chars characters have fewer than
+    1 / share of those, whatever the number of tasks, so what tasks send to the driver is bounded.
+    """
+    return counts.where(F.col("n") >= int(chars * share)).orderBy(F.desc("n"), "word").limit(limit).collect()
