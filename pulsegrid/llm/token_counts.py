@@ -22,7 +22,7 @@ from .tables import id_and_text
 class PieceTrie:
     """Forward scores over a trie of byte strings. Pieces must include every single byte."""
 
-    def __init__(self, pieces: dict[bytes, float], room: int = 500_000):
+    def __init__(self, pieces: dict[bytes, float], room: int = 300_000):
         self.room = room
         self.ending: dict[int, int] = {}  # trie of reversed pieces: node * 256 + byte -> node
         self.value: list[float | None] = [None]
@@ -94,20 +94,22 @@ def rank_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
 class Counts:
     """Counts per text; chunks between white space are counted once and remembered, up to a bounded number."""
 
-    def __init__(self, pieces: dict[bytes, float], pattern: str, remember: int = 400_000):
+    def __init__(self, pieces: dict[bytes, float], pattern: str, remember: int = 300_000):
         import regex
 
         self.trie, self.split = PieceTrie(pieces), regex.compile(pattern).findall
         self.known: dict[str, tuple[int, int]] = {}
+        self.same: dict[tuple[int, int], tuple[int, int]] = {}  # chunks share equal counts; both are small
         self.remember = remember
 
     def _new(self, chunk: str) -> tuple[int, int]:
-        parts = self.split(chunk)
+        letters = chunk[1:] if chunk[0] == " " else chunk
+        parts = [chunk] if letters.isalpha() else self.split(chunk)  # letters after one blank are one pre-token
         found = len(parts), sum(self.trie.tokens(p.encode()) for p in parts)
         if len(chunk) <= 64:
             if len(self.known) >= self.remember:
                 self.known.clear()
-            self.known[chunk] = found
+            self.known[chunk] = found = self.same.setdefault(found, found)
         return found
 
     def count(self, text: str | None) -> tuple[int, int]:
