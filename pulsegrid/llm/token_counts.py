@@ -94,24 +94,30 @@ def rank_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
 class Counts:
     """Counts per text; chunks between white space are counted once and remembered, up to a bounded number."""
 
-    def __init__(self, pieces: dict[bytes, float], pattern: str, remember: int = 300_000):
+    def __init__(self, pieces: dict[bytes, float], pattern: str, remember: int = 200_000):
         import regex
 
         self.trie, self.split = PieceTrie(pieces), regex.compile(pattern).findall
         self.known: dict[str, tuple[int, int]] = {}
+        self.older: dict[str, tuple[int, int]] = {}  # what was known before; frequent chunks come over from it
         self.same: dict[tuple[int, int], tuple[int, int]] = {}  # chunks share equal counts; both are small
         self.remember = remember
 
     def _new(self, chunk: str) -> tuple[int, int]:
-        letters = chunk[1:] if chunk[0] == " " else chunk
-        parts = [chunk] if letters.isalpha() else self.split(chunk)  # letters after one blank are one pre-token
-        found = len(parts), sum(self.trie.tokens(p.encode()) for p in parts)
+        found = self.older.get(chunk)
+        if found is None:
+            found = self._count(chunk)
         if len(chunk) <= 64:
             if len(self.known) >= self.remember:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[chunk] = found = self.same.setdefault(found, found)
         return found
 
+    def _count(self, chunk: str) -> tuple[int, int]:
+        letters = chunk[1:] if chunk[0] == " " else chunk
+        parts = [chunk] if letters.isalpha() else self.split(chunk)  # letters after one blank are one pre-token
+        return len(parts), sum(self.trie.tokens(p.encode()) for p in parts)
+
     def count(self, text: str | None) -> tuple[int, int]:
         """(pre-tokens, tokens); none for null and empty text."""
         if not text:
