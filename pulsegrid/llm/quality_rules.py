@@ -149,9 +149,9 @@ class RuleModel:
             total += w * r.holds(x)
         return 1 / (1 + np.exp(-total))
 
-    def column(self) -> Column:
-        """The score as an expression over columns with the statistics' names."""
-        columns = [F.col(n) for n in self.names]
+    def column(self, get=F.col) -> Column:
+        """The score as an expression over what get gives for the statistics' names."""
+        columns = [get(n) for n in self.names]
         total = F.lit(self.intercept)
         for r, w in zip(self.rules, self.weights, strict=True):
             total = total + F.when(r.column(columns), F.lit(w)).otherwise(F.lit(0.0))
@@ -171,8 +171,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS,
 def scored(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score, and a struct of columns to carry if asked."""
     rows = id_and_text(docs, id_col, text_col, carry)
-    found = rows.select("doc_id", *["carried"] * bool(carry), *[c.alias(n) for n, c in statistics(F.col("text")).items()])
-    return found.select("doc_id", model.column().alias("score"), *["carried"] * bool(carry))
+    # The statistics are bound to one variable, so that a filter on the score that moves down the plan still computes each once.
+    found = F.array(F.struct(*[c.alias(n) for n, c in statistics(F.col("text")).items()]))
+    score = F.transform(found, lambda s: model.column(lambda n: s[n]))[0]
+    return rows.select("doc_id", score.alias("score"), *["carried"] * bool(carry))
 
 
 def score_quality(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
