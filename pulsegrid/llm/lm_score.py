@@ -2,7 +2,11 @@
 
 Every word is predicted from the words around it, on both sides and without itself: embeddings by
 place are added, pass a tanh, and a softmax gives the word's class; within its class a word has its
-share of the corpus counts. A document's score is the sum of log p(word | context) over its words.
+share of the corpus counts. A word outside the network's vocabulary is known to the network by its bucket, and has
+its own share of the bucket's counts by a join. A document's score is the sum of log p(word | context) over its words.
+
+Vocabulary, buckets and classes grow with the corpus: the vocabulary with the square root of its words, so what is
+broadcast stays small beside the input, buckets in proportion to it, classes with its square root.
 
 Training covers the whole corpus: each task runs stochastic gradient descent over its texts from the same start, and the
 tasks' networks are averaged, embeddings weighted by how often a task saw the word.
@@ -13,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -21,26 +26,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import slices, words_of
-from .tables import id_and_text, most_frequent
+from .tables import frequent_from, id_and_text, written
 
 _PLACES = (-2, -1, 1, 2)
 
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, buckets for all others, and classes of about equal count."""
+    """The most frequent words, buckets for all others, and classes of about equal count.
+
+    bucket_mass holds the corpus counts of each bucket's words; without it they are taken as equal.
+    """
 
     words: list[bytes]
     counts: np.ndarray
     other: float
     buckets: int = 64
     classes: int = 64
+    bucket_mass: np.ndarray | None = None
 
     def __post_init__(self):
         n = len(self.words)
         self.edge = n + self.buckets  # stands beyond the ends of a text
         self.place = {w: k for k, w in enumerate(self.words)}
-        mass = np.concatenate([self.counts, np.full(self.buckets, max(1.0, self.other) / self.buckets)])
+        if self.bucket_mass is None:
+            self.bucket_mass = np.full(self.buckets, max(1.0, self.other) / self.buckets)
+        self.bucket_mass = np.maximum(self.bucket_mass, 1e-9)  # no word of the corpus meets an empty bucket
+        mass = np.concatenate([self.counts, self.bucket_mass])
         before = mass.cumsum() - mass
         self.group = np.minimum(self.classes - 1, (before / mass.sum() * self.classes).astype(np.int64))
         self.log_within = np.log(mass / np.bincount(self.group, mass, self.classes)[self.group]).astype(np.float32)
@@ -49,7 +61,11 @@ class Vocabulary:
 
     def ids(self, words: list[bytes]) -> list[int]:
         get, n, buckets = self.place.get, len(self.words), self.buckets
-        return [k if (k := get(w)) is not None else n + xxhash.xxh3_64_intdigest(w) % buckets for w in words]
+        return [k if (k := get(w)) is not None else n + bucket_of(w, buckets) for w in words]
+
+
+def bucket_of(word: bytes, buckets: int) -> int:
+    return xxhash.xxh3_64_intdigest(word) % buckets
 
 
 class Network:
@@ -106,28 +122,47 @@ def contexts(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarra
     return padded[at], np.stack([padded[at + p] for p in _PLACES], 1) if len(at) else np.empty((0, len(_PLACES)), np.int64), n
 
 
-def count_words(docs: DataFrame, size: int) -> Vocabulary:
-    """Counts every word of the corpus; the most frequent ones, a bounded number, reach the driver."""
+def vocabulary_size(words: int, least: int) -> int:
+    """Words the network knows in a corpus of so many: twice their square root. A task's network is then that many rows,
+    and all tasks' networks together stay small beside the texts they were trained on."""
+    return max(least, 2 * isqrt(words))
+
+
+def count_words(docs: DataFrame, least: int) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary, and the table (word, n) of all words of the corpus, which stays in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for part in slices(batches, 500):
             for t in part["text"].to_pylist():
-                words = words_of(t, True)
-                counts.update(words)
-                counts[b""] += len(words)
+                counts.update(words_of(t, True))
             if len(counts) > 300_000:
                 yield _counted(counts)
                 counts.clear()
         if counts:
             yield _counted(counts)
 
-    counted = docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    rows = most_frequent(counted, chars, size + 1, 1e-7)
-    total = sum(r.n for r in rows if not r.word)  # the empty word counts all
-    top = [r for r in rows if r.word]
-    return Vocabulary([bytes(r.word) for r in top], np.array([r.n for r in top], float), float(total - sum(r.n for r in top)))
+    counted = written(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    size = vocabulary_size(total, least)
+    top = counted.where(F.col("n") >= frequent_from(counted, size)).collect()  # at most size rows
+    top = sorted(((r.n, bytes(r.word)) for r in top), key=lambda x: (-x[0], x[1]))
+    buckets, classes = max(64, size // 128), max(64, round(64 * (size / 8192) ** 0.5))
+
+    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass = np.zeros(buckets)
+        for part in batches:
+            at = np.fromiter((bucket_of(w, buckets) for w in part["word"].to_pylist()), np.int64, part.num_rows)
+            mass += np.bincount(at, np.asarray(part["n"]), buckets)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(mass)], ["bucket", "n"])
+
+    mass = np.zeros(buckets)
+    for r in counted.mapInArrow(masses, "bucket long, n double").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket
+        mass[r.bucket] = r.n
+    for n, w in top:
+        mass[bucket_of(w, buckets)] -= n
+    counts = np.array([n for n, _ in top], float)
+    return Vocabulary([w for _, w in top], counts, float(total - counts.sum()), buckets, classes, mass), counted
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
@@ -189,8 +224,11 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None], batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
-    """(words, summed log p(word | context)) of each text."""
-    ids, context, lengths = contexts(vocabulary, texts)
+    """(words, summed log p(word or its bucket | context)) of each text."""
+    return _summed(vocabulary, net, *contexts(vocabulary, texts), batch)
+
+
+def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     logs = np.empty(len(ids), np.float64)
     for at in range(0, len(ids), batch):
         some = slice(at, at + batch)
@@ -205,21 +243,35 @@ def score_documents(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "d
     """Trains on all texts, then returns doc_id, n_words, log_likelihood (sum), per_word (mean) for each row.
 
     Null and empty texts have no words, log_likelihood 0 and per_word null. Null ids and repeated rows are
-    scored like others; an empty table gives no rows. Words beyond the vocabulary share buckets.
+    scored like others; an empty table gives no rows. The network knows `vocabulary` words, or more where the corpus
+    is large. A word beyond them gets its bucket's probability times its own share of the bucket's counts.
     """
     rows = id_and_text(docs, id_col, text_col)
-    words = count_words(rows, vocabulary)
+    words, counted = count_words(rows, vocabulary)
     net = train(rows, words)
     shared = docs.sparkSession.sparkContext.broadcast((words, net))  # bounded by the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, network = shared.value
+        known = len(v.words)
+        log_mass = np.log(v.bucket_mass)
         for part in slices(batches, 500, 1_000_000):
-            n, total = log_likelihoods(v, network, part["text"].to_pylist())
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_likelihood", "per_word"])
-
-    return rows.mapInArrow(run, "doc_id long, n_words long, log_likelihood double, per_word double")
+            texts = part["text"].to_pylist()
+            ids, context, n = contexts(v, texts)
+            n, total = _summed(v, network, ids, context, n)
+            rare = ids >= known
+            doc = np.repeat(np.arange(len(n)), n)[rare]
+            total = total - np.bincount(doc, log_mass[ids[rare] - known], len(n))
+            ends = np.concatenate([[0], np.bincount(doc, minlength=len(n)).cumsum()])
+            get = v.place.__contains__
+            found = pa.array([w for t in texts for w in words_of(t, True) if not get(w)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], ["row", "doc_id", "n_words", "total", "rare"])
+
+    # The row number is only used from the written table on, so a task run again cannot change it.
+    scored = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row long, doc_id long, n_words long, total double, rare array<binary>"))
+    own = scored.select("row", F.explode("rare").alias("word")).join(counted, "word").groupBy("row").agg(F.sum(F.log("n")).alias("own"))
+    out = scored.drop("rare").join(own, "row", "left").withColumn("log_likelihood", F.col("total") + F.coalesce("own", F.lit(0.0)))
+    return out.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("per_word"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

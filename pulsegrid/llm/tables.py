@@ -68,3 +68,16 @@ def most_frequent(counts: DataFrame, chars: int, limit: int, share: float) -> li
     1 / share of those, whatever the number of tasks, so what tasks send to the driver is bounded.
     """
     return counts.where(F.col("n") >= int(chars * share)).orderBy(F.desc("n"), "word").limit(limit).collect()
+
+
+def frequent_from(counts: DataFrame, limit: int) -> int:
+    """The least n that at most limit rows of counts (n, ...) reach.
+
+    Different values of n are fewer than the square root of twice the sum of n; only they reach the driver.
+    """
+    seen = 0
+    for n, rows in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        seen += rows
+        if seen > limit:
+            return n + 1
+    return 1

@@ -119,6 +119,32 @@ def test_lm_scoring(docs, nothing):
     assert lm_score.score_documents(nothing).count() == 0
 
 
+def test_rare_words_have_their_own_share(spark):
+    """With a vocabulary of one word all others share buckets; a word's score still follows its own count."""
+    common = [(k, " ".join(["the"] * 50)) for k in range(20)]
+    rare = [(100 + k, f"w{k % 30}") for k in range(30)] + [(200 + k, "often") for k in range(90)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string")
+    v, counted = lm_score.count_words(docs, 1)
+    assert v.words[0] == b"the" and counted.count() == 32
+    assert abs(v.bucket_mass.sum() + v.counts.sum() - 1120) < 1e-3
+    v, _ = lm_score.count_words(docs.where("doc_id >= 100"), 1)
+    assert len(v.words) <= lm_score.vocabulary_size(120, 1)
+    # Two words of one bucket differ by the ratio of their counts, in the same (empty) context.
+    few = spark.createDataFrame([(k, f"x{j}") for j in range(200) for k in range(1 + j % 2)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_score.score_documents(few.withColumn("doc_id", F.substring("text", 2, 9).cast("long")), vocabulary=1).collect()}
+    by_bucket = {}
+    for j in range(200):
+        by_bucket.setdefault((lm_score.bucket_of(f"x{j}".encode(), 64), j % 2), []).append(got[j].log_likelihood)
+    both = [b for b, odd in by_bucket if odd and (b, 0) in by_bucket]
+    assert both
+    assert all(abs(by_bucket[b, 1][0] - by_bucket[b, 0][0] - np.log(2)) < 1e-4 for b in both)
+
+
+def test_network_grows_with_the_corpus():
+    assert lm_score.vocabulary_size(1000, 8192) == 8192
+    assert lm_score.vocabulary_size(5_000_000_000, 8192) > 2 * lm_score.vocabulary_size(1_000_000_000, 8192) * 0.99
+
+
 # Quality
 
 
