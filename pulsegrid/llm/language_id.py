@@ -75,7 +75,7 @@ class LanguageModel:
         for w, c in self.words.items():
             self.scripts[script_of(w)] += c
             for g in _trigrams(w):
-                grams[g] += np.minimum(c, 50)
+                grams[g] += c / c.sum() * np.log1p(c.sum())
         mass = np.sum(list(grams.values()), axis=0) if grams else np.ones(n)
         self.grams = {g: tuple(np.log((c + 0.5) / (mass + 0.5 * len(grams))).tolist()) for g, c in grams.items()}
         self.no_gram = tuple(np.log(0.5 / (mass + 0.5 * max(1, len(grams)))).tolist())

@@ -411,6 +411,14 @@ def test_mixed_text_has_spans(spark, nothing, docs):
     assert {r.lang_pred for r in language_id.identify(docs, none).collect()} == {"und"}
 
 
+def test_trigrams_keep_the_ratio_between_languages(spark):
+    """A word of one language that leaks into another tells new words apart however often it occurs."""
+    rows = [("haus " * 3000 + "zzz " * 100, "de"), ("haus " * 60 + "yyy " * 3040, "en")]
+    model = language_id.fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    de, en = model.word_scores("hausa")
+    assert de == 0 and en < -2
+
+
 # Near duplicates
 
 
