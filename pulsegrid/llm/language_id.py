@@ -43,19 +43,61 @@ SCRIPTS = (
 )
 
 
-def script_of(word: str) -> str:
-    """Script of a word's first letter; `other` outside the ranges."""
-    c = ord(word[0])
+def _script(letter: str) -> str:
+    c = ord(letter)
     return next((name for name, low, high in SCRIPTS if low <= c <= high), "other")
 
 
+#: Letters of a unit; longer runs are judged piece by piece.
+UNIT = 30
+_BEYOND_LATIN = re.compile(r"[^\x00-\u024f]")
+
+
+def script_of(unit: str) -> str:
+    """Script of a unit's first own letter; `other` outside the ranges."""
+    return _script(unit[3 if unit[0] == "+" else 2 if unit[0] == "-" else 0])
+
+
+def letters_in(unit: str) -> int:
+    """Letters of a unit, without its marks and what it repeats of the unit before."""
+    return len(unit) if unit[0] not in "+-" else len(unit) - (3 if unit[0] == "+" else 2) - unit.endswith("$")
+
+
+def _pieces(run: str) -> list[str]:
+    """A run of letters as units of one script and at most UNIT letters. A run of one unit stands for itself. Else the
+    first piece begins with -^, the others with + and the two characters before them, the last ends in $, so the
+    trigrams of the pieces are those of the run."""
+    edges = [0]
+    script = _script(run[0])
+    for k, letter in enumerate(run):
+        now = _script(letter)
+        if now != script or k - edges[-1] == UNIT:
+            edges.append(k)
+            script = now
+    if len(edges) == 1:
+        return [run]
+    marked = f"^{run}$"
+    edges.append(len(run) + 1)
+    return [f"{'+' if a else '-'}{marked[max(0, a - 1) : b + 1]}" for a, b in zip(edges, edges[1:], strict=False)]
+
+
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower case."""
-    return _WORD.findall(text.lower()) if text else []
+    """Units of a text: runs of letters, lower case, split where they are long or change script."""
+    found = _WORD.findall(text.lower()) if text else []
+    latin = not text or not _BEYOND_LATIN.search(text)
+    if not found or (latin and max(map(len, found)) <= UNIT):
+        return found
+    out = []
+    for w in found:
+        if len(w) <= UNIT and (latin or not _BEYOND_LATIN.search(w)):
+            out.append(w)
+        else:
+            out += _pieces(w)
+    return out
 
 
-def _trigrams(word: str) -> list[str]:
-    w = f"^{word[:30]}$"
+def _trigrams(unit: str) -> list[str]:
+    w = unit[1:] if unit[0] in "+-" else f"^{unit}$"
     return [w[k : k + 3] for k in range(len(w) - 2)]
 
 
@@ -202,7 +244,8 @@ def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str =
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns doc_id, lang_pred, score, spans (lang, first letter run, one past the last) per row.
+    """Returns doc_id, lang_pred, score, spans (lang, first unit, one past the last) per row. A unit is a run of letters,
+    or a piece of it if it is long or changes script.
 
     lang_pred is the language with most letters in the spans; score is its share of letters times its
     probability against the other languages over the whole text. Null texts and texts without a letter are `und`
@@ -228,7 +271,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id
                         continue
                     scores = scorer.scores(found)
                     path = viterbi(scores, penalty)
-                    letters = np.bincount(path, np.fromiter(map(len, found), float, len(found)), len(languages))
+                    letters = np.bincount(path, np.fromiter(map(letters_in, found), float, len(found)), len(languages))
                     pred = int(letters.argmax())
                     total = scores.sum(0, dtype=np.float64)
                     preds.append(languages[pred])

@@ -419,6 +419,22 @@ def test_trigrams_keep_the_ratio_between_languages(spark):
     assert de == 0 and en < -2
 
 
+def test_long_runs_and_script_changes_are_whole(spark):
+    runs = ["a", "hausboot", "abcdefghij" * 31, "abcабвгд日本語かなx", "я" * 61, "aб", "日" * 31]
+    for run in runs:
+        units = language_id.words_of(run)
+        assert sum(map(language_id.letters_in, units)) == len(run)
+        assert max(map(language_id.letters_in, units)) <= language_id.UNIT
+        marked = f"^{run}$"
+        assert [g for u in units for g in language_id._trigrams(u)] == [marked[k : k + 3] for k in range(len(run))]
+    assert [language_id.script_of(u) for u in language_id.words_of("abcабв日か")] == ["latin", "cyrillic", "han", "kana"]
+    english, german = "the house of the king and the old river", "das haus von dem könig und der alte fluss"
+    model = language_id.fit_languages(spark.createDataFrame([(english, "en"), (german, "de")] * 20, "text string, lang string"))
+    run = english.replace(" ", "") + german.replace(" ", "") * 9
+    got = language_id.identify(spark.createDataFrame([(1, run)], "doc_id long, text string"), model, penalty=2.0).first()
+    assert got.lang_pred == "de" and [s.lang for s in got.spans] == ["en", "de"]
+
+
 # Near duplicates
 
 
