@@ -1,12 +1,13 @@
 """Language identification: script ranges, per-word scores, and Viterbi with a switching penalty.
 
-A word's script leaves the languages seen with it. Words of the learned vocabulary score by their counts per
-language, others by letter trigrams of that vocabulary. The best path through a text pays a penalty
+A word's script leaves the languages seen with it. Words of the learned vocabulary, which each language has its own
+share of, score by their counts per language, others by letter trigrams of all words. The best path through a text pays a penalty
 for each change of language; its runs are the spans of a mixed text.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import held_out, id_and_text, most_frequent
+from .tables import held_out, id_and_text, least_count, written
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -103,38 +104,41 @@ def _trigrams(unit: str) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Word counts per language of a bounded vocabulary, and what follows from them."""
+    """Word counts per language of a vocabulary, trigram weights and script counts of all words; a column per language."""
 
     languages: list[str]
     totals: np.ndarray
-    words: dict[str, np.ndarray]
+    words: list[str]
+    counts: np.ndarray
+    weights: dict[str, np.ndarray]
+    scripts: dict[str, np.ndarray]
     floor: float = -8.0
 
     def __post_init__(self):
         n = max(1, len(self.languages))
-        self.scripts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
-        grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
-        for w, c in self.words.items():
-            self.scripts[script_of(w)] += c
-            for g in _trigrams(w):
-                grams[g] += c / c.sum() * np.log1p(c.sum())
-        mass = np.sum(list(grams.values()), axis=0) if grams else np.ones(n)
-        self.grams = {g: tuple(np.log((c + 0.5) / (mass + 0.5 * len(grams))).tolist()) for g, c in grams.items()}
-        self.no_gram = tuple(np.log(0.5 / (mass + 0.5 * max(1, len(grams)))).tolist())
+        size = max(1, len(self.weights))
+        mass = np.sum(list(self.weights.values()), axis=0) if self.weights else np.ones(n)
+        self.grams = {g: tuple(np.log((c + 0.5) / (mass + 0.5 * size)).tolist()) for g, c in self.weights.items()}
+        self.no_gram = tuple(np.log(0.5 / (mass + 0.5 * size)).tolist())
         allowed = np.sum(list(self.scripts.values()), axis=0) if self.scripts else np.ones(n)
         self.candidates = {s: (c > 0.001 * allowed).tolist() for s, c in self.scripts.items()}
 
+    def vocabulary_scores(self) -> np.ndarray:
+        """The scores of all words of the vocabulary, as word_scores has them for others."""
+        none = [False] * max(1, len(self.languages))
+        may = np.array([self.candidates.get(script_of(w), none) for w in self.words], bool).reshape(len(self.words), -1)
+        logs = np.log((self.counts + 0.1) / (self.totals + 1))
+        top = np.where(may, logs, -np.inf).max(1, keepdims=True, initial=-np.inf)
+        some = np.isfinite(top)
+        return np.where(some, np.where(may, np.maximum(logs - np.where(some, top, 0), self.floor), self.floor), 0)
+
     def word_scores(self, word: str) -> list[float]:
-        """Log scores per language, 0 for the best and not below the floor; equal if the script rules out all."""
+        """Log scores per language, by trigrams, 0 for the best and not below the floor; equal if the script rules out all."""
         may = self.candidates.get(script_of(word))
         if may is None or not any(may):
             return [0.0] * max(1, len(self.languages))
-        counts = self.words.get(word)
-        if counts is not None:
-            out = np.log((counts + 0.1) / (self.totals + 1)).tolist()
-        else:
-            get, none = self.grams.get, self.no_gram
-            out = [sum(x) for x in zip(*[get(g, none) for g in _trigrams(word)], strict=True)]
+        get, none = self.grams.get, self.no_gram
+        out = [sum(x) for x in zip(*[get(g, none) for g in _trigrams(word)], strict=True)] or [0.0] * len(may)
         top = max(x for x, ok in zip(out, may, strict=True) if ok)
         return [max(x - top, self.floor) if ok else self.floor for x, ok in zip(out, may, strict=True)]
 
@@ -146,9 +150,9 @@ class Scorer(dict):
         super().__init__()
         self.model, self.base = model, len(model.words)
         self.table = np.zeros((self.base + room, max(1, len(model.languages))), np.float32)
-        for k, w in enumerate(model.words):
-            self.table[k] = model.word_scores(w)
-            self[w] = k
+        if self.base:
+            self.table[: self.base] = model.vocabulary_scores()
+        self.update(zip(model.words, range(self.base), strict=True))
         self.vocabulary = dict(self)
 
     def __missing__(self, word: str) -> int:
@@ -230,17 +234,70 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _learned(languages: list[str]):
+    """From (word, by) to (key, scores per language): trigram weights, and script counts under the key script:name."""
+    place = {x: k for k, x in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list[float]] = {}
+
+        def add(key: str, values: list[tuple[int, float]]) -> None:
+            row = found.get(key)
+            if row is None:
+                row = found[key] = [0.0] * len(languages)
+            for k, x in values:
+                row[k] += x
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.list_(pa.float64()))], ["key", "v"])
+            found.clear()
+            return out
+
+        for part in batches:
+            for word, by in zip(part["word"].to_pylist(), part["by"].to_pylist(), strict=True):
+                seen = [(place[x], n) for x, n in by]
+                total = sum(n for _, n in seen)
+                add("script:" + script_of(word), seen)
+                damped = math.log1p(total) / total
+                weights = [(k, n * damped) for k, n in seen]
+                for g in _trigrams(word):
+                    add(g, weights)
+            if len(found) > 200_000:
+                yield flush()
+        if found:
+            yield flush()
+
+    return run
+
+
 def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Counts all words of the rows given, by language. The most frequent words, a bounded number, reach the driver."""
+    """Counts all words of the rows given, by language.
+
+    Trigrams and scripts are learned from all of them; the driver gets one row per different trigram. Of each language
+    the most frequent words, at most `vocabulary` (words with equal counts all or none), are scored by their own counts.
+    """
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("text is not null and lang is not null")
     counts = rows.mapInArrow(_count, "word string, lang string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    totals = counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    top = most_frequent(totals, chars, vocabulary + 1, 3e-8)
-    languages = sorted({x for r in top for x in r.by})
-    vector = lambda by: np.array([by.get(x, 0) for x in languages], float)
-    totals = next((vector(r.by) for r in top if r.word == ""), np.zeros(len(languages)))
-    return LanguageModel(languages, totals, {r.word: vector(r.by) for r in top if r.word})
+    words = written(counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")))
+    totals = {x: n for r in words.where("word = ''").collect() for x, n in r.by.items() if n}
+    languages = sorted(totals)
+    n = len(languages)
+    if not n:
+        return LanguageModel([], np.zeros(0), [], np.zeros((0, 1)), {}, {})
+    words = words.where("word <> ''")
+    # Different counts of a language are fewer than the square root of twice its words.
+    sizes: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for r in words.select(F.explode("by").alias("lang", "n")).groupBy("lang", "n").count().collect():
+        sizes[r["lang"]].append((r["n"], r["count"]))
+    least = {x: least_count(sizes[x], vocabulary) for x in languages}
+    limits = F.create_map(*[F.lit(v) for pair in least.items() for v in pair])
+    top = words.where(F.exists(F.map_entries("by"), lambda e: e["value"] >= limits[e["key"]])).select("word", *[F.coalesce(F.col("by")[x], F.lit(0)) for x in languages]).collect()
+    key_sums = [F.sum(F.col("v")[k]) for k in range(n)]
+    learned = words.mapInArrow(_learned(languages), "key string, v array<double>").groupBy("key").agg(*key_sums).collect()
+    values = {r[0]: np.array(r[1:], float) for r in learned}
+    grams = {k: v for k, v in values.items() if not k.startswith("script:")}
+    scripts = {k[7:]: v for k, v in values.items() if k.startswith("script:")}
+    return LanguageModel(languages, np.array([totals[x] for x in languages], float), [r[0] for r in top], np.array([r[1:] for r in top], float).reshape(-1, n), grams, scripts)
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,9 +309,9 @@ def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id
     with score 0 and no spans, as is everything if no language was learned. Null ids and repeated rows
     are handled like others. No shuffle.
     """
-    languages, totals, words = model.languages, model.totals, model.words
+    languages = model.languages
     key = uuid4().hex
-    shared = docs.sparkSession.sparkContext.broadcast((languages, totals, words))  # bounded by the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((languages, model.totals, model.words, model.counts, model.weights, model.scripts))  # vocabulary and trigrams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_for(key, lambda: LanguageModel(*shared.value))

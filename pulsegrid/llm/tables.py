@@ -61,22 +61,18 @@ def blocks_for(amount: float, per_block: float, least: int = 1) -> int:
     return max(least, int(-(-amount // per_block)) if amount else least)
 
 
-def most_frequent(counts: DataFrame, chars: int, limit: int, share: float) -> list:
-    """At most limit rows of (word, n, ...) with the greatest n, ties by word.
-
-    Only words that occur share times per character or more are looked at. Texts of chars characters have fewer than
-    1 / share of those, whatever the number of tasks, so what tasks send to the driver is bounded.
-    """
-    return counts.where(F.col("n") >= int(chars * share)).orderBy(F.desc("n"), "word").limit(limit).collect()
-
-
 def frequent_from(counts: DataFrame, limit: int) -> int:
     """The least n that at most limit rows of counts (n, ...) reach.
 
     Different values of n are fewer than the square root of twice the sum of n; only they reach the driver.
     """
+    return least_count(counts.groupBy("n").count().collect(), limit)
+
+
+def least_count(sizes: list[tuple[int, int]], limit: int) -> int:
+    """The same from pairs (n, rows that have it)."""
     seen = 0
-    for n, rows in sorted(counts.groupBy("n").count().collect(), reverse=True):
+    for n, rows in sorted(sizes, reverse=True):
         seen += rows
         if seen > limit:
             return n + 1

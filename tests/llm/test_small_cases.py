@@ -435,6 +435,17 @@ def test_long_runs_and_script_changes_are_whole(spark):
     assert got.lang_pred == "de" and [s.lang for s in got.spans] == ["en", "de"]
 
 
+def test_a_small_language_keeps_its_words(spark):
+    """Words of a language with many rows do not push those of another out, and trigrams come from all words."""
+    hot = [(" ".join(f"{a}{b}o" for a in "abcdefgh" for b in "klmnp") + " the" * k, "en") for k in range(1, 30)]
+    model = language_id.fit_languages(spark.createDataFrame([*hot, ("zwu zwu xyu", "de")], "text string, lang string"), vocabulary=2)
+    assert model.languages == ["de", "en"]
+    assert set(model.words) == {"the", "zwu", "xyu"}
+    assert {"^xy", "xyu", "yu$", "ako"} <= set(model.grams)
+    got = language_id.identify(spark.createDataFrame([(1, "zwu xyux"), (2, "ako hpo")], "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "de", 2: "en"}
+
+
 # Near duplicates
 
 
