@@ -47,6 +47,12 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(roots[other])], ["a", "b"])
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a root at most, and roots have none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of links a-b between longs; the component is its least node.
 
@@ -55,18 +61,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a != b")
     links = cut_lineage(links.mapInArrow(_contract, "a long, b long").distinct())
-    before = None
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = cut_lineage(large.mapInArrow(_contract, "a long, b long").distinct())
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a")
         links = cut_lineage(small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")).distinct())
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = links.select(F.col("b").alias("node")).distinct()
-    return links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

@@ -91,11 +91,6 @@ def rolling(h: np.ndarray, size: int, multiplier: int) -> np.ndarray:
         span, power = 2 * span, power * power & _MASK
 
 
-def second(block: Block, size: int) -> np.ndarray:
-    """Another 64-bit hash of the same runs."""
-    return block.runs(size, _M2)[0]
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows and about so many characters of the column text."""
     for whole in batches:

@@ -1,12 +1,16 @@
 """N-gram Jaccard self-join by T-occurrence search, and the groups its links form.
 
 1. Each document's distinct word runs are hashed (56 bits) and sent, packed, to the tasks that own ranges
-   of hashes. These count in how many documents each occurs and send the shared ones back.
-2. Equal sets are one class. A class can have links only if enough of its set is shared. Its rarest
-   runs, as many as two linked sets must have one of in common, name the classes it must be compared with.
+   of hashes; a block of documents sends a run once, however many of its documents have it. These tasks count in
+   how many documents each run occurs and send the shared ones back.
+2. Equal sets, by a 128-bit digest of two independent hashes, are one class. A class can have links only if
+   enough of its set is shared. Its rarest runs, as many as two linked sets must have one of in common, name
+   the classes it must be compared with.
 3. Classes that are connected through such runs form neighbourhoods. In each, DivideSkip finds for a query
    set the sets that share at least T of its runs: short inverted lists are merged with a heap, the
    longest ones are probed by binary search.
+4. A neighbourhood too large for a task is cut into chunks. All are compared with one chunk of pivots first; what these
+   connect needs no more comparing, so only the sets left over are compared with all chunks.
 """
 
 from __future__ import annotations
@@ -23,54 +27,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .hashing import Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
-from .tables import blocks_for, cut_lineage, id_and_text
+from .hashing import _M2, Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
+from .tables import blocks_for, cut_lineage, dealt, default_tasks, id_and_text, steady, written
 
-_HEAD = np.dtype([("id", "<i8"), ("known", "<i8"), ("n", "<i8"), ("a", "<i8"), ("b", "<i8")])
-_SENT = "bucket int, block long, tokens binary, docs binary, head binary"
-_SHARED = "block long, tokens binary, docs binary, counts binary, head binary"
-_ROWS = "doc_id long, n long, a long, b long, shared binary, prefix int"
-_NO_ID = 1 << 62
+_HEAD = np.dtype([("id", "<i8"), ("known", "<i8"), ("key", "<i8"), ("n", "<i8"), ("a", "<i8"), ("b", "<i8")])
+_SENT = "bucket int, block long, tokens binary, docs binary, local binary, head binary"
+_SHARED = "block long, tokens binary, docs binary, counts binary, head binary, own_tokens binary, own_docs binary"
+_ROWS = "doc_id long, row_key long, n long, a long, b long, shared binary, prefix int"
+#: Stands for the document of a run that several documents of its block have.
+_SEVERAL = 0xFFFF
 
 
-def shingle_tokens(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(token, document) of each distinct run, by token; a document of fewer words is one run as a whole."""
+def shingle_tokens(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, document, other 64-bit hash) of each distinct run, by token; a document of fewer words is one run as a whole."""
     block = Block([words_of(t, True) for t in texts])
     h, at = block.runs(size)
+    other = block.runs(size, _M2)[0]
     doc = block.doc[at]
     short = np.flatnonzero((block.lengths > 0) & (block.lengths < size))
     if len(short):
-        whole = np.array([rolling(block.words[block.starts[d] : block.ends[d]], int(block.lengths[d]), 0x9E3779B97F4A7C15)[0] for d in short], np.uint64)
-        h = np.concatenate([h, mix(whole + block.lengths[short].astype(np.uint64))])
+        whole = [[rolling(block.words[block.starts[d] : block.ends[d]], int(block.lengths[d]), m)[0] for d in short] for m in (0x9E3779B97F4A7C15, _M2)]
+        lengths = block.lengths[short].astype(np.uint64)
+        h = np.concatenate([h, mix(np.array(whole[0], np.uint64) + lengths)])
+        other = np.concatenate([other, mix(np.array(whole[1], np.uint64) + lengths)])
         doc = np.concatenate([doc, short])
     h = h >> np.uint64(8)
-    order = np.argsort(h, kind="stable")
-    h, doc = h[order], doc[order]
-    order = np.lexsort((doc, h)) if len(short) else slice(None)
-    h, doc = h[order], doc[order]
+    order = np.lexsort((doc, h)) if len(short) else np.argsort(h, kind="stable")
+    h, doc, other = h[order], doc[order], other[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return h[new], doc[new]
+    return h[new], doc[new], other[new]
 
 
 def _send(size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = bucket_bounds(buckets)
         block = TaskContext.get().partitionId() << 32
-        for part in slices(batches, 500):
-            tokens, doc = shingle_tokens(part["text"].to_pylist(), size)
+        for part in slices(batches, 1000, 2_000_000):
+            tokens, doc, other = shingle_tokens(part["text"].to_pylist(), size)
             head = np.zeros(part.num_rows, _HEAD)
             head["id"] = np.asarray(pa.compute.fill_null(part["doc_id"], 0))
             head["known"] = np.asarray(pa.compute.is_valid(part["doc_id"]))
+            head["key"] = np.asarray(part["row_key"])
             head["n"] = np.bincount(doc, minlength=part.num_rows)
-            for name, salt in (("a", 0x1234567), ("b", 0x89ABCDEF0123)):
+            for name, hashes in (("a", mix(tokens + np.uint64(0x1234567))), ("b", other)):
                 total = np.zeros(part.num_rows, np.uint64)
-                np.add.at(total, doc, mix(tokens + np.uint64(salt)))
+                np.add.at(total, doc, hashes)
                 head[name] = total.view(np.int64)
-            cuts = [0, *np.searchsorted(tokens, bounds).tolist(), len(tokens)]
-            rows = [(k, block, pack_sorted(tokens[x:y]), pack(doc[x:y].astype("<u2")), None) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
-            rows.append((block % buckets, block, None, None, pack(head.view(np.uint8))))
-            yield _batch(rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], _SENT)
+            new = np.ones(len(tokens), bool)
+            new[1:] = tokens[1:] != tokens[:-1]
+            local = np.diff(np.flatnonzero(np.r_[new, True]))
+            several = local > 1
+            once, docs = tokens[new], np.where(several, _SEVERAL, doc[new]).astype("<u2")
+            cuts = [0, *np.searchsorted(once, bounds).tolist(), len(once)]
+            rows = [(k, block, pack_sorted(once[x:y]), pack(docs[x:y]), pack(local[x:y][several[x:y]].astype("<u2")), None) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
+            own = np.repeat(several, local)
+            rows.append((block % buckets, block, pack_sorted(tokens[own]), pack(doc[own].astype("<u2")), None, pack(head.view(np.uint8))))
+            yield _batch(rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()], _SENT)
             block += 1
 
     return run
@@ -82,47 +95,56 @@ def _batch(rows: list[tuple], kinds: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-_SHARED_KINDS = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+_SHARED_KINDS = [pa.int64(), *[pa.binary()] * 6]
 
 
 def _share(table: pa.Table) -> pa.Table:
     """Keeps the tokens of a range that occur in several documents, with their counts."""
-    rows = [(x["block"], None, None, None, x["head"]) for x in table.select(["block", "head"]).to_pylist() if x["head"] is not None]
-    sent = [(b, unpack_sorted(t), d) for b, t, d in zip(table["block"].to_pylist(), table["tokens"].to_pylist(), table["docs"].to_pylist(), strict=True) if t is not None]
+    sent = table.to_pylist()
+    rows = [(x["block"], None, None, None, x["head"], x["tokens"], x["docs"]) for x in sent if x["head"] is not None]
+    sent = [(x["block"], unpack_sorted(x["tokens"]), unpack(x["docs"], "<u2"), unpack(x["local"], "<u2")) for x in sent if x["head"] is None]
     if sent:
-        tokens = np.concatenate([t for _, t, _ in sent])
+        tokens = np.concatenate([t for _, t, _, _ in sent])
+        weight = np.ones(len(tokens), np.int64)
+        weight[np.concatenate([d for _, _, d, _ in sent]) == _SEVERAL] = np.concatenate([n for _, _, _, n in sent])
         order = np.argsort(tokens, kind="stable")
         new = np.ones(len(tokens), bool)
         new[1:] = tokens[order[1:]] != tokens[order[:-1]]
         place = np.empty(len(tokens), np.int64)
         place[order] = new.cumsum() - 1
-        counts = np.bincount(place)[place]
+        counts = np.bincount(place, weight).astype(np.int64)[place]
         at = 0
-        for block, t, d in sent:
+        for block, t, d, _ in sent:
             n = counts[at : at + len(t)]
             at += len(t)
-            several = n > 1
-            if several.any():
-                rows.append((block, pack_sorted(t[several]), pack(unpack(d, "<u2")[several]), pack(n[several].astype("<u4")), None))
+            shared = n > 1
+            if shared.any():
+                rows.append((block, pack_sorted(t[shared]), pack(d[shared]), pack(n[shared].astype("<u8")), None, None, None))
     return pa.Table.from_batches([_batch(rows, _SHARED_KINDS, _SHARED)])
 
 
 def _gather(percent: int):
     def run(table: pa.Table) -> pa.Table:
         """A row per document of a block; shared tokens, rarest first, where enough are shared."""
-        heads = [x for x in table["head"].to_pylist() if x is not None]
-        head = unpack(heads[0], np.uint8).view(_HEAD)
-        sent = [x for x in zip(table["tokens"].to_pylist(), table["docs"].to_pylist(), table["counts"].to_pylist(), strict=True) if x[0] is not None]
+        sent = table.to_pylist()
+        mine = next(x for x in sent if x["head"] is not None)
+        head = unpack(mine["head"], np.uint8).view(_HEAD)
+        sent = [(unpack_sorted(x["tokens"]), unpack(x["docs"], "<u2"), unpack(x["counts"], "<u8")) for x in sent if x["head"] is None]
         n = head["n"]
         least = -(-n * percent // 100)
         shared: list[bytes | None] = [None] * len(head)
         prefix = np.zeros(len(head), np.int64)
         if sent:
-            tokens = np.concatenate([unpack_sorted(t) for t, _, _ in sent])
-            doc = np.concatenate([unpack(d, "<u2") for _, d, _ in sent]).astype(np.int64)
-            counts = np.concatenate([unpack(c, "<u4") for _, _, c in sent])
+            tokens, doc, counts = (np.concatenate(c) for c in zip(*sent, strict=True))
+            several = doc == _SEVERAL
+            names = np.argsort(tokens[several], kind="stable")
+            own = unpack_sorted(mine["own_tokens"])
+            own_counts = counts[several][names][np.searchsorted(tokens[several][names], own)]
+            tokens = np.concatenate([tokens[~several], own])
+            doc = np.concatenate([doc[~several], unpack(mine["own_docs"], "<u2")]).astype(np.int64)
+            counts = np.concatenate([counts[~several], own_counts])
             have = np.bincount(doc, minlength=len(head))
-            able = (n > 0) & (have >= least)
+            able = (100 * n >= percent * (n + 1)) & (have >= least)  # smaller sets link with equal ones only
             keep = able[doc]
             tokens, doc, counts = tokens[keep], doc[keep], counts[keep]
             order = np.lexsort((tokens, counts, doc))
@@ -132,28 +154,48 @@ def _gather(percent: int):
             for d in np.flatnonzero(able).tolist():
                 shared[d] = tokens[ends[d] - have[d] : ends[d]].tobytes()
         ids = pa.array(head["id"], mask=head["known"] == 0)
-        return pa.table([ids, *[pa.array(head[c]) for c in ("n", "a", "b")], pa.array(shared, pa.binary()), pa.array(prefix.astype(np.int32))], names=["doc_id", "n", "a", "b", "shared", "prefix"])
+        return pa.table([ids, *[pa.array(head[c]) for c in ("key", "n", "a", "b")], pa.array(shared, pa.binary()), pa.array(prefix.astype(np.int32))], names=["doc_id", "row_key", "n", "a", "b", "shared", "prefix"])
 
     return run
 
 
+def row_key() -> F.Column:
+    """Tells the rows of an id apart by their text; equal rows have equal keys."""
+    return F.xxhash64("doc_id", "text")
+
+
 def shared_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """A row per document: its set's size n and digest (a, b), and its shared tokens if links are possible."""
-    docs = id_and_text(docs)
+    docs = steady(docs.select("doc_id", "text", row_key().alias("row_key")))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = blocks_for(chars, 16_000_000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sent = docs.mapInArrow(_send(size, buckets), _SENT)
-    shared = sent.groupBy("bucket").applyInArrow(_share, _SHARED)
-    return shared.groupBy("block").applyInArrow(_gather(percent), _ROWS)
+    tasks = blocks_for(chars, 16_000_000, default_tasks(docs.sparkSession))
+    sent = docs.mapInArrow(_send(size, tasks), _SENT)
+    shared = dealt(sent, "bucket", tasks).applyInArrow(_share, _SHARED)
+    return dealt(shared, "block", tasks).applyInArrow(_gather(percent), _ROWS)
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, node) of the runs a class must be looked up by."""
+    """Of the runs a class must be looked up by: (token, node, null), and (null, node, other node) for classes of the batch
+    that a run connects; of these only one stands in the tokens' rows, so a hot token has a row for each batch."""
     for batch in batches:
         tokens = [np.frombuffer(s, np.uint64)[:p] for s, p in zip(batch["shared"].to_pylist(), batch["prefix"].to_pylist(), strict=True)]
-        nodes = np.repeat(np.asarray(batch["node"]), np.fromiter(map(len, tokens), np.int64, len(tokens)))
+        owner = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, tokens), np.int64, len(tokens)))
         flat = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(flat.astype(np.int64)), pa.array(nodes)], ["token", "node"])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        forest = Forest(len(tokens))
+        for k in np.flatnonzero(flat[1:] == flat[:-1]).tolist():
+            forest.union(int(owner[k]), int(owner[k + 1]))
+        root = np.fromiter(map(forest.find, range(len(tokens))), np.int64, len(tokens))
+        first = np.ones(len(flat), bool)
+        first[1:] = flat[1:] != flat[:-1]  # all holders of a token have one root
+        node = np.asarray(batch["node"])
+        inner = np.flatnonzero(root != np.arange(len(tokens)))
+        a = np.concatenate([node[root[owner[first]]], node[inner]])
+        n, m = int(first.sum()), len(inner)
+        token = pa.array(np.concatenate([flat[first].view(np.int64), np.zeros(m, np.int64)]), mask=np.r_[np.zeros(n, bool), np.ones(m, bool)])
+        b = pa.array(np.concatenate([np.zeros(n, np.int64), node[root[inner]]]), mask=np.r_[np.ones(n, bool), np.zeros(m, bool)])
+        yield pa.RecordBatch.from_arrays([token, pa.array(a), b], ["token", "a", "b"])
 
 
 class Index:
@@ -192,19 +234,15 @@ def divide_skip(lists: list[np.ndarray], least: int, weight: float = 0.01) -> It
     long_n = min(least - 1, int(least / (weight * np.log2(max(2, len(lists[-1]))) + 1)), len(lists) - 1)
     short, long = lists[: len(lists) - long_n], lists[len(lists) - long_n :][::-1]
     need = least - long_n
-    if sum(map(len, short)) > 30_000:  # dense lists: counting beats a heap
-        sums = np.bincount(np.concatenate(short))
-        numbers = np.flatnonzero(sums >= need)
-        counts = sums[numbers]
-    else:
-        merged = list(_heap_merge([x.tolist() for x in short], need))
-        numbers, counts = np.array([n for n, _ in merged], np.int64), np.array([c for _, c in merged], np.int64)
-    scanned = [x for x in long if len(x) <= 4 * len(numbers)]  # as many candidates as entries: reading is cheaper than probing
-    if scanned:
-        sums = np.bincount(np.concatenate(scanned), minlength=int(numbers[-1]) + 1)
-        counts = counts + sums[numbers]
+    merged = list(_heap_merge([x.tolist() for x in short], need))
+    numbers, counts = np.array([n for n, _ in merged], np.int64), np.array([c for _, c in merged], np.int64)
+    alike = [x for x in long if len(x) <= 4 * len(numbers)]  # not much longer than the candidates: one search for the entries of all these lists
+    if alike and len(numbers):
+        entries = np.concatenate(alike)
+        place = np.minimum(np.searchsorted(numbers, entries), len(numbers) - 1)
+        counts = counts + np.bincount(place[numbers[place] == entries], minlength=len(numbers))
         long = [x for x in long if len(x) > 4 * len(numbers)]
-    for k, x in enumerate(long):  # all candidates left are looked for in a list at once
+    for k, x in enumerate(long):  # a search in each longer list for all candidates left
         able = counts + (len(long) - k) >= least
         if not able.all():
             numbers, counts = numbers[able], counts[able]
@@ -293,15 +331,13 @@ def _link(percent: int):
     def run(table: pa.Table) -> pa.Table:
         a: list[int] = []
         b: list[int] = []
-        comp = np.asarray(table["neighbourhood"])
-        node, n, chunk = np.asarray(table["node"]), np.asarray(table["n"]), np.asarray(table["chunk"])
-        first, second = np.asarray(table["first"]), np.asarray(table["second"])
+        group, node, n, side = (np.asarray(table[c]) for c in ("group", "node", "n", "side"))
         data = table["shared"].to_pylist()
-        order = np.lexsort((node, n, comp))
-        for rows in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
+        order = np.lexsort((node, n, group))
+        for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
             if len(rows) < 2:
                 continue
-            sides = None if first[rows[0]] == second[rows[0]] else (chunk[rows] == second[rows]).astype(np.int64)
+            sides = None if (side[rows] < 0).all() else side[rows].astype(np.int64)
             for x, y in link_sets(n[rows], [np.frombuffer(data[r], np.uint64) for r in rows.tolist()], percent, sides):
                 a.append(int(node[rows[x]]))
                 b.append(int(node[rows[y]]))
@@ -310,41 +346,95 @@ def _link(percent: int):
     return run
 
 
-def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 1_000_000) -> DataFrame:
+def _linked(placed: DataFrame, able: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """Links inside each group of placed (bin, group, node, side); with sides 0 and 1 only those between them."""
+    rows = placed.join(able.select("node", "n", "shared"), "node").select("bin", "group", "node", "n", "shared", "side")
+    return cut_lineage(dealt(rows, "bin", tasks).applyInArrow(_link(percent), "a long, b long").where("a != b"))
+
+
+def _neighbourhoods(able: DataFrame) -> DataFrame:
+    """(node, neighbourhood) of classes that a run they must be looked up by connects with others."""
+    posted = written(able.select("node", "shared", "prefix").mapInArrow(_postings, "token long, a long, b long"))
+    tokens = posted.where("token is not null").select("token", "a")
+    heads = tokens.groupBy("token").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b != last").select("token", "b")
+    links = tokens.join(heads, "token").select("a", "b").where("a != b").distinct()
+    return components(posted.where("token is null").select("a", "b").unionByName(links)).withColumnRenamed("component", "neighbourhood")
+
+
+def _links(able: DataFrame, percent: int, chunk_tokens: int) -> list[DataFrame]:
+    """Links (a, b) between classes that connect all that are connected."""
+    weight = (F.octet_length("shared") / 8).alias("w")
+    near = cut_lineage(able.select("node", weight).join(_neighbourhoods(able), "node"))
+    sizes = near.groupBy("neighbourhood").agg(F.ceil(F.sum("w") / chunk_tokens).alias("chunks"))
+    near = cut_lineage(near.join(sizes, "neighbourhood").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks")))
+    total, most = near.agg(F.sum("w"), F.max("chunks")).first()
+    tasks = blocks_for(total or 0, 4 * chunk_tokens, default_tasks(able.sparkSession))
+    # Chunk 0 holds the pivots; it goes with each other chunk.
+    beside = F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long"))).when(F.col("chunk") == 0, F.sequence(F.lit(1).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))
+    group = F.when(F.col("chunks") == 1, F.col("neighbourhood")).otherwise(F.xxhash64("neighbourhood", "beside"))
+    bin_ = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("neighbourhood"), F.lit(4 * tasks))).otherwise(F.col("group"))
+    first = near.withColumn("beside", F.explode(beside)).withColumn("group", group).select("node", "group", bin_.alias("bin"), F.lit(-1).alias("side"))
+    links = _linked(first, able, percent, tasks)
+    if (most or 0) <= 2:
+        return [links]
+    large = near.where("chunks > 2")
+    found = components(links.join(large.select(F.col("node").alias("a")), "a"))
+    large = cut_lineage(large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    heaviest = large.groupBy("neighbourhood", "component").agg(F.sum("w").alias("w")).groupBy("neighbourhood").agg(F.max_by("component", F.struct("w", "component")).alias("heaviest"))
+    large = large.where("chunk > 0").join(heaviest, "neighbourhood")
+    left = large.where("component != heaviest")
+    parts = left.groupBy("neighbourhood").agg(F.ceil(F.sum("w") / chunk_tokens).alias("parts"))
+    group = F.xxhash64("neighbourhood", F.lit("left"), "part", "beside")
+    one = left.join(parts, "neighbourhood").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), "parts")).withColumn("beside", F.explode(F.sequence(F.lit(1).cast("long"), F.col("chunks") - 1)))
+    other = large.join(parts, "neighbourhood").withColumn("beside", F.col("chunk")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    both = [x.select("node", group.alias("group"), group.alias("bin"), F.lit(k).alias("side")) for k, x in ((1, one), (0, other))]
+    return [links, _linked(both[0].unionByName(both[1]), able, percent, tasks)]
+
+
+def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links between the classes of rows that share an id; None if no id has several."""
+    some = rows.where("n > 0 and doc_id is not null")
+    several = some.groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("x"), F.max(F.struct("a", "b")).alias("y")).where("x != y").select("doc_id")
+    several = cut_lineage(several)
+    if several.isEmpty():
+        return None
+    held = some.join(several, "doc_id").select("doc_id", "a", "b").distinct().join(classes.select("a", "b", "node"), ["a", "b"]).select("doc_id", F.col("node").alias("a"))
+    return held.join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b").where("a != b")
+
+
+def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 100_000, keyed: bool = False) -> DataFrame:
     """Groups of documents connected by links; two link when their sets' Jaccard similarity is percent / 100 or more.
 
     Returns a row per input row: doc_id, n_shingles (distinct runs of size words, A-Z lowered; fewer words
-    are one run), component_id (least doc_id connected with it, itself included).
+    are one run), component_id (least doc_id connected with it, itself included). If keyed, also row_key (of id and text)
+    and component (a number that rows of a group share; null for an empty set).
 
     Null or empty text, or text without words, has an empty set and links with nothing. A row without
     id takes part; its component_id is null only if no row with an id is connected. Rows that share an id
-    are one node, so their links are united. Equal sets are one class before anything is compared, so copies
-    are never paired. A neighbourhood larger than chunk_tokens is compared chunk against chunk, each task
-    holding two chunks; every pair of chunks is compared, none is dropped. docs must give the same rows in the same
-    partitions when read again (a table does).
+    are one node, whatever their texts, so their links are united. Equal sets are one class before anything is
+    compared, so copies are never paired. A neighbourhood larger than chunk_tokens is compared in chunks, each task
+    holding two; no pair of sets that are not connected yet goes uncompared. An empty table gives no rows.
     """
-    rows = cut_lineage(shared_sets(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), size, percent))
-    node = F.coalesce(F.min("doc_id"), F.lit(_NO_ID) + F.shiftrightunsigned("a", 2))
-    able = cut_lineage(rows.where("shared is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc_id"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix")).select(F.coalesce("doc_id", F.lit(_NO_ID) + F.shiftrightunsigned("a", 2)).alias("node"), "n", "shared", "prefix"))
-    postings = able.mapInArrow(_postings, "token long, node long")
-    heads = postings.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
-    near = components(postings.join(heads, "token").select(F.col("node").alias("a"), F.col("head").alias("b")).where("a != b").distinct())
-    near = cut_lineage(able.join(near.withColumnRenamed("component", "neighbourhood"), "node"))
-    weight = F.octet_length("shared") / 8
-    sizes = near.groupBy("neighbourhood").agg(F.sum(weight).alias("w")).select("neighbourhood", F.ceil(F.col("w") / chunk_tokens).cast("int").alias("chunks"))
-    total = near.agg(F.sum(weight)).first()[0] or 0
-    bins = blocks_for(total, chunk_tokens, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = near.join(sizes, "neighbourhood").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    dealt = dealt.select("*", other).select("*", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"))
-    bin_ = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("neighbourhood"), F.lit(bins))).otherwise(F.xxhash64("neighbourhood", "first", "second"))
-    dealt = dealt.withColumn("bin", bin_).withColumn("neighbourhood", F.when(F.col("chunks") == 1, F.col("neighbourhood")).otherwise(F.xxhash64("neighbourhood", "first", "second")))
-    links = cut_lineage(dealt.select("bin", "neighbourhood", "node", "n", "shared", "chunk", "first", "second").groupBy("bin").applyInArrow(_link(percent), "a long, b long"))
-    found = components(links)
-    classes = rows.where("n > 0").groupBy("a", "b").agg(node.alias("node")).join(found, "node", "left").select("a", "b", F.coalesce("component", "node").alias("component"))
-    out = rows.drop("shared", "prefix").join(classes, ["a", "b"], "left")
-    least = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("component") < _NO_ID, F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), least.alias("component_id"))
+    rows = cut_lineage(shared_sets(id_and_text(docs, id_col, text_col), size, percent))
+    classes = rows.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc_id"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix"))
+    classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))  # fixed from the checkpoint on
+    links = [*_links(classes.where("shared is not null"), percent, chunk_tokens), _same_id(rows, classes)]
+    joined = components(_union([x for x in links if x is not None]))
+    joined = cut_lineage(joined.join(classes.select("node", "doc_id"), "node"))
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("least"))
+    joined = joined.join(least, "component").select("node", "component", "least")
+    marked = classes.select("a", "b", "node", "doc_id").join(joined, "node", "left")
+    marked = marked.select("a", "b", F.coalesce("component", "node").alias("component"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("least"))
+    out = rows.drop("shared", "prefix").join(marked, ["a", "b"], "left")
+    found = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), *[F.col("row_key"), F.when(F.col("n") > 0, F.col("component")).alias("component")] * keyed)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -36,10 +36,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of this machine only where the session names none, as in tests."""
+    """The folder that spark.checkpoint.dir names. Where the session names none, one of this machine if it is the only
+    one, as in tests; on a cluster executors could not read each other's files there, so that raises."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pulsegrid-checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context._jsc.sc().isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pulsegrid-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -56,6 +60,32 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Plans of these alone give the same rows in the same order whenever they run again.
+_STEADY = {"Project", "Filter", "SubqueryAlias", "Relation", "LogicalRelation", "LogicalRDD", "LocalRelation", "View"}
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """df itself where a task run again is sure to see the same rows in the same order, else a checkpoint of it.
+
+    Operators that answer to blocks of rows rely on it: a shuffle may hand a retried task its rows in another order.
+    """
+
+    def same(plan) -> bool:
+        children = plan.children()
+        return plan.nodeName().split(" ")[0] in _STEADY and all(same(children.apply(k)) for k in range(children.size()))
+
+    return df if same(df._jdf.queryExecution().analyzed()) else cut_lineage(df)
+
+
+def dealt(df: DataFrame, key: str, tasks: int):
+    """df grouped by key in so many tasks: a number that grows with the input, which the session's default does not."""
+    return df.repartition(tasks, key).groupBy(key)
+
+
+def default_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def blocks_for(amount: float, per_block: float, least: int = 1) -> int:
     """Number of blocks that keeps each at about per_block; grows in proportion to the input."""
     return max(least, int(-(-amount // per_block)) if amount else least)

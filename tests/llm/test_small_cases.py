@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -474,6 +475,57 @@ def test_jaccard_groups(docs, nothing, chunk):
     assert jaccard_join.jaccard_groups(nothing).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, b = prose(5, 40), prose(6, 40)
+    rows = [(3, a), (7, a), (7, b), (9, b), (9, ""), (2**62 + 5, prose(7, 40)), (-4, "lone")]
+    got = by_id(jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")), "component_id")
+    assert got == sorted([(3, 3), (7, 3), (7, 3), (9, 3), (9, 9), (2**62 + 5, 2**62 + 5), (-4, -4)], key=repr)
+
+
+def near_copies(seed: int, n: int) -> list[tuple]:
+    """Near copies of three texts, short texts, repeated ids and rows."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        words = prose(rng.randrange(3), rng.choice([3, 4, 6, 7, 8, 60, 60])).split(" ")
+        for _ in range(rng.randrange(3) if len(words) > 20 else 0):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(60)}"
+        rows.append((rng.randrange(n) if k % 5 else None, " ".join(words)))
+    return [*rows, *rows[:4]]
+
+
+@pytest.mark.parametrize(("chunk", "unique"), [(100_000, False), (150, False), (150, True), (400, True)])
+def test_random_near_copies_equal_brute_force(spark, chunk, unique):
+    """Small chunks make neighbourhoods be compared by pivots and leftovers; order and partitions do not matter."""
+    rows = near_copies(11 if unique else 12, 150)
+    rows = [(k, t) for k, (_, t) in enumerate(rows)] if unique else rows
+    expected = sorted(groups(rows), key=repr)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for some in (docs, docs.orderBy(F.rand(3)).repartition(5)):
+        assert by_id(jaccard_join.jaccard_groups(some, chunk_tokens=chunk), "n_shingles", "component_id") == expected
+
+
+def test_a_line_of_all_documents_is_sent_once_per_block():
+    line = "this line stands in every one of the documents"
+    texts = [f"{line} {prose(k, 12)}" for k in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts), pa.array(range(300), pa.int64())], ["doc_id", "text", "row_key"])
+    tokens, doc, _ = jaccard_join.shingle_tokens(texts, 5)
+    assert np.bincount(np.unique(tokens, return_inverse=True)[1]).max() == 300
+
+    class Task:
+        @staticmethod
+        def get():
+            return type("T", (), {"partitionId": staticmethod(lambda: 0)})
+
+    before, jaccard_join.TaskContext = jaccard_join.TaskContext, Task
+    try:
+        sent = [r for b in jaccard_join._send(5, 3)(iter([batch])) for r in b.to_pylist()]
+    finally:
+        jaccard_join.TaskContext = before
+    inside = np.concatenate([hashing.unpack_sorted(r["tokens"]) for r in sent if r["head"] is None])
+    assert len(inside) == len(np.unique(inside)) == len(np.unique(tokens))
+
+
 def test_divide_skip_finds_all():
     rng = np.random.default_rng(6)
     for _ in range(200):
