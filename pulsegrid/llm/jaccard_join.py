@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
@@ -159,9 +159,9 @@ def _gather(percent: int):
     return run
 
 
-def row_key() -> F.Column:
+def row_key() -> Column:
     """Tells the rows of an id apart by their text; equal rows have equal keys."""
-    return F.xxhash64("doc_id", "text")
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def shared_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -402,12 +402,11 @@ def _same_id(rows: DataFrame, classes: DataFrame) -> DataFrame | None:
     return held.join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b").where("a != b")
 
 
-def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 100_000, keyed: bool = False) -> DataFrame:
+def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 100_000) -> DataFrame:
     """Groups of documents connected by links; two link when their sets' Jaccard similarity is percent / 100 or more.
 
     Returns a row per input row: doc_id, n_shingles (distinct runs of size words, A-Z lowered; fewer words
-    are one run), component_id (least doc_id connected with it, itself included). If keyed, also row_key (of id and text)
-    and component (a number that rows of a group share; null for an empty set).
+    are one run), component_id (least doc_id connected with it, itself included).
 
     Null or empty text, or text without words, has an empty set and links with nothing. A row without
     id takes part; its component_id is null only if no row with an id is connected. Rows that share an id
@@ -415,10 +414,32 @@ def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col:
     compared, so copies are never paired. A neighbourhood larger than chunk_tokens is compared in chunks, each task
     holding two; no pair of sets that are not connected yet goes uncompared. An empty table gives no rows.
     """
-    rows = cut_lineage(shared_sets(id_and_text(docs, id_col, text_col), size, percent))
+    rows = _rows_of(docs, id_col, text_col, size, percent)
+    classes = _classes(rows)
+    found = _grouped(rows, classes, [*_links(classes.where("shared is not null"), percent, chunk_tokens), _same_id(rows, classes)])
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_rows(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = 100_000) -> DataFrame:
+    """The same by row: rows of one id are connected by their texts only. Adds row_key, of id and text, and component, a
+    number that the rows of a group share (null for an empty set)."""
+    rows = _rows_of(docs, id_col, text_col, size, percent)
+    classes = _classes(rows)
+    return _grouped(rows, classes, _links(classes.where("shared is not null"), percent, chunk_tokens))
+
+
+def _rows_of(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    return cut_lineage(shared_sets(id_and_text(docs, id_col, text_col), size, percent))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """A row per different set that is not empty; their numbers are fixed from the checkpoint on."""
     classes = rows.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc_id"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix"))
-    classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))  # fixed from the checkpoint on
-    links = [*_links(classes.where("shared is not null"), percent, chunk_tokens), _same_id(rows, classes)]
+    return cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
+
+
+def _grouped(rows: DataFrame, classes: DataFrame, links: list[DataFrame | None]) -> DataFrame:
+    """Rows with their component and its least doc_id."""
     joined = components(_union([x for x in links if x is not None]))
     joined = cut_lineage(joined.join(classes.select("node", "doc_id"), "node"))
     least = joined.groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -426,8 +447,7 @@ def jaccard_groups(docs: DataFrame, *, size: int = 5, percent: int = 75, id_col:
     marked = classes.select("a", "b", "node", "doc_id").join(joined, "node", "left")
     marked = marked.select("a", "b", F.coalesce("component", "node").alias("component"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("least"))
     out = rows.drop("shared", "prefix").join(marked, ["a", "b"], "left")
-    found = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), *[F.col("row_key"), F.when(F.col("n") > 0, F.col("component")).alias("component")] * keyed)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "row_key", "component")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

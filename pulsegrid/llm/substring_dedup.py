@@ -2,7 +2,7 @@
 
 1. Seed. Every window of `length` words has one anchor, the least hash among its runs of `seed` words.
    Equal windows have equal anchors. Documents meet at anchors that occur more than once.
-2. Extend. Each such anchor is extended both ways to all windows it is the anchor of; their 88-bit hashes
+2. Extend. Each such anchor is extended both ways to all windows it is the anchor of; their 120-bit hashes
    tell where an earlier place reads on the same. Windows with an earlier equal one lie in a repeat.
 3. Windows that touch or overlap merge into maximal repeats, and their words are removed.
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
-from .tables import blocks_for, id_and_text, with_carried
+from .tables import blocks_for, dealt, default_tasks, id_and_text, steady, with_carried
 
 _LAST = np.iinfo(np.int64).max
 _SENT = "bucket int, block long, tokens binary, checks binary, docs binary, places binary, ids binary, keys binary"
@@ -155,13 +155,13 @@ def _extend(length: int, seed: int, buckets: int):
             starts, anchor, _ = anchors(block, length, seed)
             starts = starts[marked[anchor]]
             first = mix(rolling(block.words, length, 0x9E3779B97F4A7C15))[starts] >> np.uint64(8) if len(starts) else np.empty(0, np.uint64)
-            check = mix(rolling(block.words, length, 0xC2B2AE3D27D4EB4F))[starts] >> np.uint64(32) if len(starts) else np.empty(0, np.uint64)
+            check = mix(rolling(block.words, length, 0xC2B2AE3D27D4EB4F))[starts] if len(starts) else np.empty(0, np.uint64)
             if len(starts):
                 doc = block.doc[starts]
                 place = (starts - block.starts[doc]).astype("<u4")
                 ids = np.asarray(pa.compute.fill_null(part["doc_id"], _LAST)).astype("<i8")[doc]
                 order = np.lexsort((place, ids, check, first))
-                first, check, doc, place, ids = first[order], check[order].astype("<u4"), doc[order].astype("<u2"), place[order], ids[order]
+                first, check, doc, place, ids = first[order], check[order], doc[order].astype("<u2"), place[order], ids[order]
                 late = _not_least(_first(first, check), ids, place)
                 some = ~late
                 columns = [c[some] for c in (first, check, doc, place, ids)]
@@ -185,7 +185,7 @@ def _earlier(table: pa.Table) -> pa.Table:
     rows, sent = _read(table)
     if sent:
         docs, places = [unpack(x["docs"], "<u2") for x in sent], [unpack(x["places"], "<u4") for x in sent]
-        tokens, checks = np.concatenate([unpack_sorted(x["tokens"]) for x in sent]), np.concatenate([unpack(x["checks"], "<u4") for x in sent])
+        tokens, checks = np.concatenate([unpack_sorted(x["tokens"]) for x in sent]), np.concatenate([unpack(x["checks"], "<u8") for x in sent])
         ids, place = np.concatenate([unpack(x["ids"], "<i8") for x in sent]), np.concatenate(places)
         order = np.lexsort((place, ids, checks, tokens))
         later = np.empty(len(order), bool)
@@ -242,20 +242,24 @@ def dedup_substrings(docs: DataFrame, *, length: int = 20, seed: int = 8, id_col
 
     Null text has no words; texts shorter than a window lose nothing. Rows without id count as one document
     after all others. Rows equal in id and text do not remove each other. An empty table gives no rows.
-    The text is shuffled once; both joins reuse that exchange.
+    Order and partitions of the rows do not matter. The text is shuffled once; both joins reuse that exchange.
     """
-    rows = id_and_text(docs, id_col, text_col, carry).select("*", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"))
+    rows = steady(id_and_text(docs, id_col, text_col, carry)).select("*", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = default_tasks(docs.sparkSession)
+    seeding, extending = blocks_for(chars, 64_000_000, least), blocks_for(chars, 24_000_000, least)
     by_document = "k1 long, k2 long, places binary"
-    sent = rows.select("text", "k1", "k2").mapInArrow(_seed(length, seed, blocks_for(chars, 64_000_000, least)), _SENT)
-    met = sent.groupBy("bucket").applyInArrow(_meet, _BACK)
-    seeds = met.groupBy("block").applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
-    met_rows = rows.join(seeds, ["k1", "k2"])
-    windows = met_rows.mapInArrow(_extend(length, seed, blocks_for(chars, 24_000_000, least)), _SENT)
-    later = windows.groupBy("bucket").applyInArrow(_earlier, _BACK)
-    covered = later.groupBy("block").applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
-    judged = rows.join(covered, ["k1", "k2"], "left").drop("k1", "k2")
+    rows_dealt = rows.repartition(extending, "k1", "k2")
+    sent = rows.select("text", "k1", "k2").mapInArrow(_seed(length, seed, seeding), _SENT)
+    met = dealt(sent, "bucket", seeding).applyInArrow(_meet, _BACK)
+    seeds = dealt(met, "block", seeding).applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
+    # Blocks are counted through the rows of a task. A merge join hands them out by key, rows with equal keys are equal, so
+    # a task that runs again makes the same blocks and its answers fit those of the first run.
+    met_rows = rows_dealt.join(seeds.hint("merge"), ["k1", "k2"]).sortWithinPartitions("k1", "k2")
+    windows = met_rows.mapInArrow(_extend(length, seed, extending), _SENT)
+    later = dealt(windows, "bucket", extending).applyInArrow(_earlier, _BACK)
+    covered = dealt(later, "block", extending).applyInArrow(_to_documents, by_document).dropDuplicates(["k1", "k2"])
+    judged = rows_dealt.join(covered.hint("merge"), ["k1", "k2"], "left").drop("k1", "k2")
     return judged.mapInArrow(_cut(length, as_is), with_carried(_CUT, rows))
 
 

@@ -11,7 +11,7 @@ from pulsegrid.llm import quality_rules
 from pulsegrid.llm.registry import ORACLES, QUERIES
 
 from oracle import assert_same, connect
-from test_small_cases import awkward, contaminated, deduplicated, groups
+from test_small_cases import awkward, contaminated, deduplicated, groups, near_copies, prose
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +52,29 @@ def test_near_duplicate_stage(stages):
     assert after == {i: before[i] for i in kept}
 
 
+def first_of_each_group(rows):
+    """The rows that stay, by brute force over texts."""
+    linked = groups([(k, t) for k, (_, t) in enumerate(rows)])  # rows as nodes, so ids do not unite texts
+    best = {}
+    for k, n, c in linked:
+        if n:
+            i, t = rows[k]
+            best.setdefault(c, []).append((i is None, i or 0, t))
+    stay = [rows[k] for k, n, _ in linked if not n]
+    return sorted([*stay, *[(None if min(x)[0] else min(x)[1], None) for x in best.values()]], key=repr)
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    a, b = prose(5, 40), prose(6, 40)
+    small = [(3, a), (7, a), (7, b), (9, b), (None, a), (None, prose(8, 40)), (None, prose(8, 40)), (1, None), (1, None), (2, "")]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(small, "doc_id long, text string"), "").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(3, a), (7, b), (None, prose(8, 40)), (1, None), (1, None), (2, "")], key=repr)
+    rows = near_copies(12, 120)
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(((r.doc_id, None) for r in got), key=repr) == first_of_each_group(rows)
+    assert {(r.doc_id, r.text) for r in got} <= set(rows)
+
+
 def test_repeated_passage_stage(stages):
     before, after = map(texts, stages["repeated_passages"])
     expected = {i: (before[i] if not n else kept) for i, _, n, kept in deduplicated(sorted(before.items())) if not n or kept}
@@ -62,7 +85,7 @@ def test_repeated_passage_stage(stages):
 def test_benchmark_stage(spark, sf_dir, stages):
     before, after = map(texts, stages["benchmark_passages"])
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    found = {i for i, t in before.items() if contaminated(t, items)[1]} if len(before) <= 400 else set()
+    found = {i for i, t in before.items() if contaminated(t, items)[1]}
     assert after == {i: t for i, t in before.items() if i not in found}
 
 
@@ -84,7 +107,12 @@ def test_awkward_rows_pass_through_all_stages(spark, sf_dir, tmp_path):
         docs = spark.createDataFrame(some, schema)
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{tmp_path}/{len(some)}/{name}")
-            docs = spark.read.parquet(f"{tmp_path}/{len(some)}/{name}")
+            before, docs = docs, spark.read.parquet(f"{tmp_path}/{len(some)}/{name}")
+            if name != "packing":
+                assert docs.columns == before.columns
+                assert set(map(repr, docs.drop("n_chars", "text").collect())) <= set(map(repr, before.drop("n_chars", "text").collect()))
+            else:
+                assert docs.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

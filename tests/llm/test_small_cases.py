@@ -363,6 +363,8 @@ def deduplicated(rows, length=20):
 def test_substring_dedup(docs, nothing):
     expected = deduplicated([(i, t) for i, t, *_ in awkward()])
     assert by_id(substring_dedup.dedup_substrings(docs), "n_words", "n_removed", "kept") == sorted(expected, key=repr)
+    mixed = docs.orderBy(F.rand(5)).repartition(5)
+    assert by_id(substring_dedup.dedup_substrings(mixed), "n_words", "n_removed", "kept") == sorted(expected, key=repr)
     assert substring_dedup.dedup_substrings(nothing).count() == 0
 
 
