@@ -13,28 +13,38 @@ from pyspark.sql import functions as F
 from pulsegrid.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
 from pulsegrid.llm.tables import cut_lineage, table, written
 
-#: Ids up to this many (8 bytes each) are broadcast, more are joined by a shuffle.
-BROADCAST_IDS = 4_000_000
+#: Rows up to this many (16 bytes each) are broadcast, more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels that are not held out."""
+    """Documents that the quality classifier accepts; it learns from the labels that are not held out.
+
+    Null and empty texts are judged by statistics that are all 0, rows without id and repeated rows like others.
+    """
     return quality_rules.keep_good(docs, quality_rules.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near duplicates; documents without words stay.
+    """One row of each group of near duplicates: that with the least doc_id, ids before null, then by the text's hash.
 
-    Of rows that share an id one stays. A row without an id goes if its group has an id, else it stays.
+    It is decided by row, so rows of one id are no copies of each other for that alone, and a group always keeps
+    a row. Of equal rows one stays. Null, empty and blank texts have no group and all stay.
     """
-    found = cut_lineage(jaccard_join.jaccard_groups(docs))
-    known = F.col("doc_id").isNotNull()
-    gone = found.where(known & (F.col("n_shingles") > 0) & (F.col("component_id") != F.col("doc_id"))).select("doc_id").distinct()
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
-    if not found.where(known).groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.where(known).dropDuplicates(["doc_id"]).unionByName(kept.where(~known))
-    return kept
+    found = cut_lineage(jaccard_join.jaccard_rows(docs).where("n_shingles > 0").select("doc_id", "row_key", "component"))
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("doc_id"), F.col("first.row_key").alias("row_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (jaccard_join.row_key() == F.col("__key"))
+    named = lambda rows: rows.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"))
+    sized = lambda rows: F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+    counted = found.groupBy("doc_id", "row_key").agg(F.count("*").alias("n"))
+    gone = cut_lineage(counted.join(kept.withColumn("kept", F.lit(True)), [counted.doc_id.eqNullSafe(kept.doc_id), counted.row_key == kept.row_key], "left").where("kept is null or n > 1").select(counted.doc_id, counted.row_key, "n", "kept"))
+    out = docs.join(sized(named(gone)), same, "left_anti")
+    again = gone.where("kept")
+    if again.isEmpty():
+        return out
+    once = docs.join(sized(named(again)), same).drop("__id", "__key").withColumn("__row", jaccard_join.row_key())
+    return out.unionByName(once.dropDuplicates(["doc_id", "__row"]).drop("__row"))
 
 
 def _others(docs: DataFrame) -> tuple[str, ...]:
@@ -42,7 +52,10 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without words that repeat earlier passages; documents of which nothing is left go."""
+    """Documents without words that repeat earlier passages; documents of which nothing is left go.
+
+    Null and empty texts stay as they are. Rows equal in id and text do not cut each other; rows without id come last.
+    """
     cut = substring_dedup.dedup_substrings(docs, as_is=True, carry=_others(docs))
     left = cut.where((F.col("n_removed") == 0) | (F.col("kept") != "")).withColumn("text", F.col("kept"))
     size = F.when(F.col("n_removed") > 0, F.char_length("kept")).otherwise(F.col("carried.n_chars")).cast("long")
@@ -50,13 +63,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; null and empty texts have none and stay, as do rows without id."""
     spans = decontaminate.benchmark_spans(docs, table(spark, sf_dir, "benchmark"), keep_text=True, carry=_others(docs))
     return spans.where("n_hit = 0").select(*[F.col(c) if c == "text" else F.col(f"carried.`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 2048 tokens, with their ids and the ids' digest."""
+    """Pieces of the documents in sequences of at most 2048 tokens, with their ids and the ids' digest.
+
+    Null and empty texts are a piece of the end token alone; each row is packed for itself, repeated or without id.
+    """
     return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
