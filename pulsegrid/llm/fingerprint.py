@@ -1,6 +1,6 @@
 """Canonical exact document fingerprints, with DataFrame functions only.
 
-A text is normalised (NFKC), lowered and its white space folded; a 128-bit hash made of two xxhash64 values
+A text is normalised (NFKC), its case and white space folded; a 128-bit hash made of two xxhash64 values
 puts equal canonical texts into one bucket. Within buckets of several rows the canonical bytes are
 compared, and where they differ a number after the hash tells the texts apart, so fingerprints
 are equal exactly if canonical texts are.
@@ -21,9 +21,11 @@ _LEAST = -(2**63)
 
 
 def canonical(text: Column) -> Column:
-    """NFKC, lower case, runs of white space as one space, none at the ends; empty for null."""
-    composed = F.call_function("java_method", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(text, F.lit("")), F.lit(True))
-    return F.trim(F.regexp_replace(F.lower(composed), r"(?U)\s+", " "))
+    """NFKC, full case folding (`ß` as `ss`, final sigma as sigma), NFKC again, runs of white space as one space, none at
+    the ends; empty for null."""
+    compose = lambda c: F.call_function("java_method", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
+    folded = F.call_function("java_method", F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), compose(F.coalesce(text, F.lit(""))), F.lit(True))
+    return F.trim(F.regexp_replace(compose(folded), r"(?U)\s+", " "))
 
 
 def wide_hash(canon: Column) -> tuple[Column, Column]:
@@ -83,37 +85,56 @@ def _marked(h1: str, h2: str, number: Column) -> Column:
     return F.concat(_hex(F.col(h1), F.col(h2)), F.when(number > 0, F.concat(F.lit("-"), number.cast("string"))).otherwise(""))
 
 
+def bucket_starts(rows: DataFrame, n_buckets: int) -> list[tuple[int, int]]:
+    """(at, row_key) of the first row of each bucket but the first, when rows by descending (at, row_key) are cut into buckets of
+    equally many. Only the two numbers are sorted, and a row for each bucket reaches the driver."""
+    order = [F.desc("at"), F.desc("row_key")]
+    line = rows.select("at", "row_key").repartitionByRange(n_buckets, *order).sortWithinPartitions(*order)
+    line = cut_lineage(line.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")))
+    sizes = {r.part: (r.first, r.n) for r in line.groupBy("part").agg(F.min("row").alias("first"), F.count("*").alias("n")).collect()}
+    total = sum(n for _, n in sizes.values())
+    each = max(1, -(-total // n_buckets))
+    before, wanted = 0, []
+    for part in sorted(sizes):
+        first, n = sizes[part]
+        wanted += [first + k - before for k in range(-(-before // each) * each, before + n, each) if k]
+        before += n
+    found = line.where(F.col("row").isin(wanted)).select("at", "row_key").collect() if wanted else []
+    return sorted({(r.at, r.row_key) for r in found}, reverse=True)
+
+
+def bucket_of(starts: list[tuple[int, int]]) -> Column:
+    """Number of starts at or before the row, by two short scans instead of one long one."""
+    if not starts:
+        return F.lit(0)
+    step = max(1, round(len(starts) ** 0.5))
+    pairs = lambda some: F.array(*[F.struct(F.lit(a).cast("long").alias("at"), F.lit(k).cast("long").alias("row_key")) for a, k in some])
+    row = F.struct("at", "row_key")
+    reached = lambda c: F.size(F.filter(c, lambda x: x >= row))
+    blocks = [starts[k : k + step] for k in range(0, len(starts), step)]
+    some = F.array(*map(pairs, blocks))
+    passed = reached(pairs([b[0] for b in blocks]))
+    return F.when(passed == 0, 0).otherwise((passed - 1) * step + reached(F.element_at(some, F.greatest(passed, F.lit(1)))))
+
+
 def with_next(rows: DataFrame, n_buckets: int) -> DataFrame:
-    """Adds next_text and next_key of the next row by descending (doc_id, row_key); the first follows the last.
+    """Adds next_text and next_key of the next row by descending (doc_id, row_key), null ids last; the first follows the last.
 
-    Rows are dealt into buckets of neighbouring ids with about as many rows each, found from a
-    histogram of bounded size. The first row of a bucket also goes, as a guest, to the bucket
-    before it, so that each bucket finds its rows' successors alone.
+    Rows are dealt into buckets of neighbours with equally many rows each, however ids are spread; only rows equal in id
+    and text stay together. The first row of a bucket also goes, as a guest, to the bucket before it, so that each
+    bucket finds its rows' successors alone.
     """
     rows = rows.withColumn("at", F.coalesce("doc_id", F.lit(_LEAST)))
-    low, high = rows.where("doc_id is not null").agg(F.min("at"), F.max("at")).first()
-    if low is None or low == high:
-        low, high = 0, 1
-    cells = 4096
-    cell = F.when(F.col("doc_id").isNull(), 0).otherwise(F.least(F.lit(cells - 1), F.floor((F.col("at") - F.lit(low)).cast("double") / F.lit(max(1.0, (high - low) / cells)))).cast("int") + 1)
-    first = F.max(F.struct("at", "row_key")).alias("first")
-    found = rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), first).collect()  # at most cells + 1 rows
-    found.sort(key=lambda r: -r.cell)
-    if not found:
-        return rows.select("*", F.lit(None).cast("string").alias("next_text"), F.lit(None).cast("long").alias("next_key"))
-    each = max(1, sum(r.n for r in found) // n_buckets)
-    bucket_of, firsts, n = [0] * (cells + 1), [], each
-    for r in found:
-        if n >= each:
-            firsts.append(r.first)
-            n = 0
-        n += r.n
-        bucket_of[r.cell] = len(firsts) - 1
-    at = F.element_at(F.lit(bucket_of), cell + 1)
-    heads = F.array(*[F.struct(F.lit(x.at).cast("long").alias("at"), F.lit(x.row_key).cast("long").alias("row_key")) for x in firsts])
-    dealt = rows.withColumn("own", at).withColumn("head", F.element_at(heads, F.col("own") + 1) == F.struct("at", "row_key"))
-    guest = F.pmod(F.col("own") - 1, F.lit(len(firsts)))
-    dealt = dealt.withColumn("bucket", F.explode(F.when(F.col("head"), F.array(F.struct(F.col("own").alias("b"), F.lit(False).alias("guest")), F.struct(guest.alias("b"), F.lit(True).alias("guest")))).otherwise(F.array(F.struct(F.col("own").alias("b"), F.lit(False).alias("guest"))))))
+    starts = bucket_starts(rows, n_buckets)
+    top = rows.agg(F.max(F.struct("at", "row_key")).alias("top")).first().top
+    if top is None:
+        return rows.select("*", F.lit(None).cast("string").alias("next_text"), F.lit(None).cast("long").alias("next_key")).drop("at")
+    starts = [x for x in starts if x != (top.at, top.row_key)]
+    heads = F.array(*[F.struct(F.lit(a).cast("long").alias("at"), F.lit(k).cast("long").alias("row_key")) for a, k in [(top.at, top.row_key), *starts]])
+    dealt = rows.withColumn("own", bucket_of(starts)).withColumn("head", F.element_at(heads, F.col("own") + 1) == F.struct("at", "row_key"))
+    guest = F.pmod(F.col("own") - 1, F.lit(len(starts) + 1))
+    own = F.struct(F.col("own").alias("b"), F.lit(False).alias("guest"))
+    dealt = dealt.withColumn("bucket", F.explode(F.when(F.col("head"), F.array(own, F.struct(guest.alias("b"), F.lit(True).alias("guest")))).otherwise(F.array(own))))
     dealt = dealt.select("doc_id", "row_key", "text", "at", F.col("bucket.b").alias("b"), F.col("bucket.guest").alias("guest"))
     order = Window.partitionBy("b").orderBy("guest", F.desc("at"), F.desc("row_key"))
     return dealt.select("*", F.lead("text").over(order).alias("next_text"), F.lead("row_key").over(order).alias("next_key")).where("not guest").drop("guest", "b", "at")
@@ -128,7 +149,12 @@ def edited_rows(rows: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def query(spark, sf_dir: str, hash_of=wide_hash) -> DataFrame:
-    """op7: fingerprints of all documents and of their edited texts; likeness is 1 for equal fingerprints, else 0."""
+    """op7: fingerprints of all documents and of their edited texts.
+
+    The fingerprint is an exact digest, so likeness is 1 for equal fingerprints and 0 for all others, however alike the texts.
+    Null text counts as empty. Rows by descending doc_id, null ids last, rows of one id by their key; a single
+    row follows itself. Repeated rows each give a row. An empty table gives no rows.
+    """
     from .tables import table
 
     rows = id_and_text(table(spark, sf_dir, "documents")).withColumn("text", F.coalesce("text", F.lit("")))

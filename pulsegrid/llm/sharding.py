@@ -1,20 +1,23 @@
 """Sharding through fixed virtual slots and a versioned slot-to-shard map.
 
-Records are hashed into a fixed number of slots that never changes. Bytes and rows are added up per
-slot, and a map says which shard holds which slot. Rebalancing edits the map: it
-moves as few slots as bring the shards' bytes together, and counts the version up.
+Records are hashed by their text into a fixed number of slots that never changes. Bytes and rows are added up per
+slot, and a stored map says which shard holds which slot. Rebalancing edits the map: it
+moves as few slots as bring the shards' bytes together, and stores the result as the next version.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import id_and_text
+from .tables import cut_lineage, id_and_text, shared_folder
 
 N_SLOTS = 4096
+#: Rows of a slot are numbered in so many cells apart, by id, so no task numbers a whole group of equal texts.
+CELLS = 16
 
 
 @dataclass(frozen=True)
@@ -74,8 +77,16 @@ class SlotMap:
         return spark.createDataFrame([(self.version, self.shards, k, s) for k, s in enumerate(self.shard_of)], "version int, shards int, virtual_slot int, shard int")
 
     def write(self, spark: SparkSession, path: str) -> None:
-        """Adds this version to the stored map; earlier versions stay."""
-        self.frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={self.version}")
+        """Adds this version to the stored map; earlier versions stay, and a version is never written twice."""
+        self.frame(spark).coalesce(1).write.parquet(f"{path.rstrip('/')}/version={self.version}")
+
+    @staticmethod
+    def latest(spark: SparkSession, path: str) -> SlotMap | None:
+        """The newest stored version, if there is any."""
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            return None
+        return SlotMap.read(spark, path, spark.read.parquet(path).agg(F.max("version")).first()[0])
 
     @staticmethod
     def read(spark: SparkSession, path: str, version: int) -> SlotMap:
@@ -83,49 +94,72 @@ class SlotMap:
         return SlotMap(version, rows[0].shards, tuple(r.shard for r in rows))
 
 
-def slot_of(n_slots: int = N_SLOTS) -> Column:
-    """Slot of a record, from its id and text so that repeated ids spread too."""
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slots)).cast("int")
+def large_groups(records: DataFrame, share: float) -> list[int]:
+    """Hashes of texts whose copies together hold more than this share of all bytes; fewer than 1 / share."""
+    sums = cut_lineage(records.groupBy(F.xxhash64("text").alias("h")).agg(F.sum("size").alias("size")))
+    total = sums.agg(F.sum("size")).first()[0] or 0
+    return [r.h for r in sums.where(F.col("size") > total * share).collect()]
+
 
+def slot_of(n_slots: int, large: list[int]) -> Column:
+    """Slot of a record: from its text, so that equal texts share it; for texts in large from their id too."""
+    text = F.xxhash64("text")
+    return F.pmod(F.when(text.isin(large), F.xxhash64("doc_id", "text")).otherwise(text), F.lit(n_slots)).cast("int")
 
-def slot_sizes(records: DataFrame) -> dict[int, tuple[int, int]]:
-    """Bytes and rows per slot; at most as many rows reach the driver as there are slots."""
-    return {r.virtual_slot: (r.size, r.n) for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
 
+def slot_sizes(records: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
+    """Bytes and rows per slot and cell; at most as many rows reach the driver as there are of them."""
+    found = records.groupBy("virtual_slot", "cell").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    return {(r.virtual_slot, r.cell): (r.size, r.n) for r in found}
 
-def shard(docs: DataFrame, *, shards: int = 8, n_slots: int = N_SLOTS, current: SlotMap | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, SlotMap]:
+
+def shard(docs: DataFrame, *, shards: int = 8, n_slots: int = N_SLOTS, map_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, SlotMap]:
     """Puts every record into a shard so that the shards' bytes are nearly equal.
 
-    Returns the records (doc_id, text, size, virtual_slot, shard, slot) and the map used, which is the
-    current one (or an even first version) rebalanced for the bytes found. slot numbers the rows of a shard from 0
-    without gaps.
+    Returns the records (doc_id, text, size, virtual_slot, cell, shard, begins) and the map used: the newest one stored under
+    map_path (or an even one) rebalanced for the bytes found, which is stored there as the next version and read
+    back. numbered adds a record's place in its shard.
+
+    A group of equal texts stays in one shard, unless it holds more than a quarter of a shard's bytes: such a group
+    is spread over the slots by doc_id, as the shards could not be even otherwise.
 
-    A record's size is its text's UTF-8 bytes plus 1; null text has none. Null ids and repeated rows
-    are records like others (equal rows share a slot); an empty table gives no rows and an unchanged
-    assignment. Rows are numbered within their slot, and slots follow each other within their shard, so
-    no task holds a whole shard.
+    A record's size is its text's UTF-8 bytes plus 1; null text has none and counts as equal to empty text. Null ids
+    and repeated rows are records like others; an empty table gives no rows and an unchanged assignment.
     """
-    records = id_and_text(docs, id_col, text_col).select("doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), slot_of(n_slots).alias("virtual_slot"))
+    spark = docs.sparkSession
+    records = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("size", (F.octet_length("text") + 1).cast("long"))
+    slot, cell = slot_of(n_slots, large_groups(records, 0.25 / shards)), F.pmod(F.xxhash64(F.lit("cell"), "doc_id"), F.lit(CELLS)).cast("int")
+    records = records.select("*", slot.alias("virtual_slot"), cell.alias("cell"))
     found = slot_sizes(records)
-    used = (current or SlotMap.initial(shards, n_slots)).rebalanced({k: v[0] for k, v in found.items()}, shards)
+    sizes: dict[int, int] = {}
+    for (k, _), (size, _) in found.items():
+        sizes[k] = sizes.get(k, 0) + size
+    current = (SlotMap.latest(spark, map_path) if map_path else None) or SlotMap.initial(shards, n_slots)
+    used = current.rebalanced(sizes, shards)
+    if map_path:
+        used.write(spark, map_path)
+        used = SlotMap.read(spark, map_path, used.version)
     begins, at = [], [0] * shards
-    for k, s in enumerate(used.shard_of):
-        begins.append((k, s, at[s]))
-        at[s] += found.get(k, (0, 0))[1]
-    places = docs.sparkSession.createDataFrame(begins, "virtual_slot int, shard int, begins long")  # a row per slot: n_slots rows
-    return records.join(F.broadcast(places), "virtual_slot"), used
+    for (k, c), (_, n) in sorted(found.items()):
+        s = used.shard_of[k]
+        begins.append((k, c, s, at[s]))
+        at[s] += n
+    places = spark.createDataFrame(begins, "virtual_slot int, cell int, shard int, begins long")  # at most n_slots times CELLS rows
+    return records.join(F.broadcast(places), ["virtual_slot", "cell"]), used
 
 
 def numbered(placed: DataFrame, *order: str) -> DataFrame:
-    """Adds slot, the place of a row in its shard; order makes it the same in every run."""
-    within = Window.partitionBy("virtual_slot").orderBy(*order)
-    return placed.withColumn("slot", F.col("begins") + F.row_number().over(within) - 1).drop("begins")
+    """Adds slot, the gapless place of a row in its shard. Rows that are equal in all of order take places in any way."""
+    within = Window.partitionBy("virtual_slot", "cell").orderBy(*order)
+    return placed.withColumn("slot", F.col("begins") + F.row_number().over(within) - 1).drop("begins", "cell")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op6: all documents into shards 0 to 7 by law `bytes`; texts shrink to digests before any shuffle."""
+    """op6: all documents into shards 0 to 7 by law `bytes`; equal texts share a shard (see shard for groups too large for
+    that). Texts shrink to digests before any shuffle. The slot map is stored in the shared folder and read from there."""
     from .tables import table
 
-    placed, _ = shard(table(spark, sf_dir, "documents"))
-    digest = placed.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).drop("text")
-    return numbered(digest, "doc_id", "text_crc32", "size").select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+    placed, used = shard(table(spark, sf_dir, "documents"), map_path=f"{shared_folder(spark)}/slot-map-{uuid4().hex}")
+    digest = placed.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).drop("text")
+    columns = ["doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(used.version).alias("map_version")]
+    return numbered(digest, "doc_id", "text_crc32", "size").select(*columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import random
 import re
@@ -273,15 +274,44 @@ def test_search_finds_every_occurrence():
 # Sharding
 
 
+def check_shards(rows, texts, shards):
+    """The whole contract of a sharding, by brute force."""
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows if r.doc_id is not None) == sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts if i is not None)
+    assert len(rows) == len(texts)
+    loads, of_text = [0] * shards, defaultdict(set)
+    for s in range(shards):
+        mine = [r for r in rows if r.shard == s]
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        loads[s] = sum(r.size for r in mine)
+    for r in rows:
+        of_text[r.text_crc32, r.size].add(r.shard)
+    total = Counter()
+    for _, t in texts:
+        total[zlib.crc32((t or "").encode()), len((t or "").encode()) + 1] += len((t or "").encode()) + 1
+    assert all(len(of_text[k]) == 1 for k, n in total.items() if n <= sum(loads) / shards / 4)
+    return loads
+
+
+def test_sharding_query(spark, tmp_path):
+    """All documents of a table, with a hot text that no shard could hold, nulls, empty texts and repeated rows."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(10**6 + k, "hot " * 400) for k in range(700)] + [(-1, None), (-2, ""), (None, "no id"), docs[0]]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sharding.query(spark, str(tmp_path)).collect()
+    loads = check_shards(rows, docs, 8)
+    assert max(loads) - min(loads) <= 0.001 * sum(loads)
+    assert {(r.law, r.grown_shard, r.map_version) for r in rows} == {("bytes", None, 2)}
+    assert len({r.shard for r in rows if r.text_crc32 == zlib.crc32(b"hot " * 400)}) == 8
+
+
 def test_sharding(spark, docs, nothing, tmp_path):
-    placed, used = sharding.shard(docs, shards=4, n_slots=64)
-    rows = sharding.numbered(placed, "doc_id", "size").collect()
-    assert sorted(r.size for r in rows) == sorted(len((t or "").encode()) + 1 for _, t, *_ in awkward())
-    for s in range(4):
-        slots = sorted(r.slot for r in rows if r.shard == s)
-        assert slots == list(range(len(slots)))
-    used.write(spark, str(tmp_path))
-    assert sharding.SlotMap.read(spark, str(tmp_path), used.version).shard_of == used.shard_of
+    path = f"{tmp_path}/map"
+    placed, used = sharding.shard(docs, shards=4, n_slots=64, map_path=path)
+    assert sharding.SlotMap.read(spark, path, used.version) == sharding.SlotMap.latest(spark, path)
+    rows = sharding.numbered(placed.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))), "doc_id", "size").collect()
+    check_shards(rows, [(i, t) for i, t, *_ in awkward()], 4)
+    again, edited = sharding.shard(docs, shards=4, n_slots=64, map_path=path)
+    assert edited.version == used.version + 1 and edited.shard_of == used.shard_of
     assert sharding.shard(nothing)[0].count() == 0
 
 
@@ -305,7 +335,8 @@ def test_rebalancing_moves_few_slots():
 def canonical(text):
     import unicodedata
 
-    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text or "").lower()).strip()
+    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text or "").casefold())
+    return re.sub(r"\s+", " ", folded).strip()
 
 
 @pytest.mark.parametrize("weak", [False, True])
@@ -326,23 +357,48 @@ def test_fingerprints(docs, nothing, weak):
 
 @pytest.mark.parametrize("weak", [False, True])
 def test_fingerprint_query(spark, tmp_path, weak):
-    rows = [(k, t) for k, t in enumerate(["Aa bb cc", "aa  BB cc", "x", "", "aa bb dd", "zzz zzz", "aa bb cc"])]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = ["Aa bb cc", "aa  BB cc", "x", "", "aa bb dd", "zzz zzz", "aa bb cc", "Straße ΟΔΟΣ", "STRASSE οδος", "ŉ ﬁ\u3000½", "ʼn fi 1⁄2", None, "aé" * 50]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    rows += [(2**60, "far away"), (None, "no id")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     hash_of = (lambda c: (F.length(c).cast("long"), F.lit(0).cast("long"))) if weak else fingerprint.wide_hash
     got = {r.doc_id: r for r in fingerprint.query(spark, str(tmp_path), hash_of).collect()}
-    order = sorted(rows, reverse=True)
+    order = sorted(((float("-inf") if i is None else i, t or "") for i, t in rows), reverse=True)
     prints = {}
     for (i, t), (j, after) in zip(order, order[1:] + order[:1], strict=True):
+        r = got[None if i == float("-inf") else i]
         k = len(t) // 3
         edited = t[: len(t) - k] + after[:k]
-        assert got[i].n_chars == len(t)
-        assert got[i].near_edited == float(canonical(t) == canonical(edited))
-        assert got[i].near_next == float(canonical(t) == canonical(after))
-        for text, value in ((t, got[i].fingerprint), (edited, got[i].edited_fingerprint)):
+        assert r.n_chars == len(t)
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_edited == float(canonical(t) == canonical(edited))
+        assert r.near_next == float(canonical(t) == canonical(after))
+        for text, value in ((t, r.fingerprint), (edited, r.edited_fingerprint)):
             assert prints.setdefault(canonical(text), value) == value
     assert len(set(prints.values())) == len(prints)
 
 
+def test_fingerprint_query_on_repeated_rows_and_nothing(spark, tmp_path):
+    schema = "doc_id long, text string, canon string, row_key long"
+    for name, rows in (("same", [(5, "one"), (5, "one"), (5, "two"), (5, None)]), ("single", [(1, "ab cd")]), ("empty", [])):
+        spark.createDataFrame([(*r, "x", 1) for r in rows], schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        got = fingerprint.query(spark, f"{tmp_path}/{name}").collect()
+        assert len(got) == len(rows)
+        assert len({r.fingerprint for r in got}) == len({t or "" for _, t in rows})
+    assert name == "empty"
+
+
+def test_buckets_are_even_however_ids_are_spread(spark):
+    """One far id, or no ids at all, do not bring the others into one bucket."""
+    ids = spark.range(1000).select(F.col("id").alias("at"), F.xxhash64("id").alias("row_key"))
+    far = ids.unionByName(spark.range(1).select(F.lit(2**60).alias("at"), F.lit(1).cast("long").alias("row_key")))
+    same = ids.withColumn("at", F.lit(fingerprint._LEAST))
+    for rows in (ids, far, same):
+        starts = fingerprint.bucket_starts(rows, 7)
+        sizes = [r["count"] for r in rows.groupBy(fingerprint.bucket_of(starts).alias("b")).count().collect()]
+        assert len(sizes) == 7 and max(sizes) <= 144
+
+
 # Substring deduplication
 
 
