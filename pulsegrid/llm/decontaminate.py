@@ -9,7 +9,8 @@ the patterns to test, told apart by their first block, and each is then compared
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,15 +75,39 @@ class WuManber:
             end += 1
 
 
-def matchers(items: list[tuple[str, str | None]], size: int) -> list[WuManber]:
-    """One search for each pattern length that occurs; nearly all patterns have size words."""
-    by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(lambda: defaultdict(list))
-    for item, text in items:
-        for w in set(windows(fold_words(text), size)):
-            by_length[len(w)][w].append(item)
+def matchers(found: Iterable[tuple[bytes, str | None]]) -> list[WuManber]:
+    """One search for each number of words that windows (words joined by blanks, item) have; nearly all have the full size."""
+    by_length: dict[int, dict[tuple[bytes, ...], list]] = defaultdict(lambda: defaultdict(list))
+    for window, item in found:
+        words = tuple(window.split(b" "))
+        by_length[len(words)][words].append(item)
     return [WuManber(p) for _, p in sorted(by_length.items())]
 
 
+def item_windows(items: DataFrame, size: int) -> DataFrame:
+    """(words, item) of all items' windows, each once; equal items are one. Stays in the shared folder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                part = whole.slice(at, 200)
+                found = list({(b" ".join(w), item): None for item, text in zip(part["item"].to_pylist(), part["text"].to_pylist(), strict=True) for w in windows(fold_words(text), size)})
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([i for _, i in found], pa.string())], ["words", "item"])
+
+    return cut_lineage(items.mapInArrow(run, "words binary, item string").distinct())
+
+
+_searches: dict[str, list[WuManber]] = {}
+
+
+def searches_for(key: str, found) -> list[WuManber]:
+    """The searches of one pass, made once for each worker process."""
+    if key not in _searches:
+        _searches.clear()
+        _searches[key] = matchers(found())
+    return _searches[key]
+
+
 def scan(words: Words, searches: list[WuManber]) -> tuple[list[list[int]], set[str]]:
     """Merged word spans [start, end) that occurrences cover, and the items found."""
     found = sorted((start, start + s.m, items) for s in searches for start, items in s.search(words))
@@ -101,7 +126,7 @@ _SPANS = pa.list_(pa.list_(pa.int64()))
 _SCHEMA = "doc_id long, text string, n_words long, spans array<array<long>>, item_ids array<string>"
 
 
-def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = 8_000_000, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_windows: int = 100_000, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Where windows of benchmark items occur in documents.
 
     Returns a row per input row: doc_id, n_words, n_hit (words inside any occurrence), spans
@@ -109,28 +134,32 @@ def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
 
     Null or empty text has no words, spans or items. An item without words matches nothing; an
     item without an id counts as hit but is not listed. Repeated documents or items each count as
-    they are; an empty benchmark leaves everything clean. Documents are never shuffled. The
-    patterns go to the executors in blocks of at most about block_chars characters: with
-    more benchmark text the documents are scanned once for each block, each pass cut off by a checkpoint.
+    they are; an empty benchmark leaves everything clean. Documents are never shuffled. The items' windows are dealt by
+    hash into blocks of about block_windows, so a long item is spread too, and one block is broadcast at a time: with more
+    windows the documents are scanned once for each block, each pass cut off by a checkpoint.
     """
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
-    n_blocks = blocks_for(items.agg(F.sum(F.length("text"))).first()[0] or 0, block_chars)
+    found = item_windows(items, window)
+    n_blocks = blocks_for(found.count(), block_windows)
+    context = docs.sparkSession.sparkContext
     rows = id_and_text(docs, id_col, text_col, carry)
     schema = with_carried(_SCHEMA, rows)
     out = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
     for k in range(n_blocks):
-        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
-        patterns = [(r.item, r.text) for r in part.collect()]  # bounded by block_chars
-        out = out.mapInArrow(_pass(patterns, window, keep_text or k + 1 < n_blocks), schema)
+        part = found if n_blocks == 1 else found.where(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == k)
+        patterns = context.broadcast([(bytes(r.words), r.item) for r in part.collect()])  # about block_windows
+        out = out.mapInArrow(_pass(patterns, keep_text or k + 1 < n_blocks), schema)
         if n_blocks > 1:
             out = cut_lineage(out)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     return out.select("doc_id", *["text"] * keep_text, "n_words", n_hit.alias("n_hit"), "spans", "item_ids", *["carried"] * bool(carry))
 
 
-def _pass(rows: list[tuple[str, str | None]], window: int, keep_text: bool):
+def _pass(patterns, keep_text: bool):
+    key = uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = matchers(rows, window)
+        searches = searches_for(key, lambda: patterns.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,13 +17,17 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import held_out, id_and_text, least_count, written
 
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters: where all characters are below U+0250 there are no marks, and the only word characters that are
+#: neither letters nor digits are superscripts and fractions; elsewhere letters with the marks that follow them.
+_LATIN_RUN = re.compile(r"[^\W\d_²³¹¼-¾]+")
+_RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: First and last code point of ranges that tell scripts apart (Unicode blocks; fixed values).
 SCRIPTS = (
     ("latin", 0x0041, 0x024F),
@@ -65,14 +70,19 @@ def letters_in(unit: str) -> int:
 
 
 def _pieces(run: str) -> list[str]:
-    """A run of letters as units of one script and at most UNIT letters. A run of one unit stands for itself. Else the
-    first piece begins with -^, the others with + and the two characters before them, the last ends in $, so the
-    trigrams of the pieces are those of the run."""
+    """A run of letters as units of one script and about UNIT letters at most; marks stay with their letter, unless they go on
+    without end. A run of one unit stands for itself. Else the first piece begins with -^, the others with + and the two
+    characters before them, the last ends in $, so the trigrams of the pieces are those of the run."""
     edges = [0]
     script = _script(run[0])
     for k, letter in enumerate(run):
+        held = k - edges[-1]
+        if unicodedata.category(letter)[0] == "M":
+            if held >= 2 * UNIT:
+                edges.append(k)
+            continue
         now = _script(letter)
-        if now != script or k - edges[-1] == UNIT:
+        if now != script or held >= UNIT:
             edges.append(k)
             script = now
     if len(edges) == 1:
@@ -83,9 +93,12 @@ def _pieces(run: str) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Units of a text: runs of letters, lower case, split where they are long or change script."""
-    found = _WORD.findall(text.lower()) if text else []
-    latin = not text or not _BEYOND_LATIN.search(text)
+    """Units of a text: runs of letters and their marks, lower case, split where they are long or change script."""
+    if not text:
+        return []
+    text = text.lower()
+    latin = not _BEYOND_LATIN.search(text)
+    found = (_LATIN_RUN if latin else _RUN).findall(text)
     if not found or (latin and max(map(len, found)) <= UNIT):
         return found
     out = []
@@ -274,7 +287,9 @@ def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str =
     """Counts all words of the rows given, by language.
 
     Trigrams and scripts are learned from all of them; the driver gets one row per different trigram. Of each language
-    the most frequent words, at most `vocabulary` (words with equal counts all or none), are scored by their own counts.
+    the most frequent words (words with equal counts all or none) are scored by their own counts: `vocabulary` of them, or twice
+    the root of the language's words where that is more. Others are scored by their trigrams. Rows with null text or language
+    teach nothing; repeated rows count each; without any row every text is `und`.
     """
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("text is not null and lang is not null")
     counts = rows.mapInArrow(_count, "word string, lang string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
@@ -289,7 +304,7 @@ def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str =
     sizes: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for r in words.select(F.explode("by").alias("lang", "n")).groupBy("lang", "n").count().collect():
         sizes[r["lang"]].append((r["n"], r["count"]))
-    least = {x: least_count(sizes[x], vocabulary) for x in languages}
+    least = {x: least_count(sizes[x], max(vocabulary, 2 * math.isqrt(totals[x])) if vocabulary else 0) for x in languages}
     limits = F.create_map(*[F.lit(v) for pair in least.items() for v in pair])
     top = words.where(F.exists(F.map_entries("by"), lambda e: e["value"] >= limits[e["key"]])).select("word", *[F.coalesce(F.col("by")[x], F.lit(0)) for x in languages]).collect()
     key_sums = [F.sum(F.col("v")[k]) for k in range(n)]
@@ -306,7 +321,8 @@ def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id
 
     lang_pred is the language with most letters in the spans; score is its share of letters times its
     probability against the other languages over the whole text. Null texts and texts without a letter are `und`
-    with score 0 and no spans, as is everything if no language was learned. Null ids and repeated rows
+    with score 0 and no spans, as is everything if no language was learned. Digits, fractions, superscripts and marks
+    alone are no letters. Of languages that score the same the first by name is taken. Null ids and repeated rows
     are handled like others. No shuffle.
     """
     languages = model.languages

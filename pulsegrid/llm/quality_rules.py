@@ -1,43 +1,70 @@
 """Quality classifier: a sparse rule ensemble over text statistics, compiled into Spark columns.
 
 Shallow trees are boosted on statistics of labelled documents. Every path from a root is a rule, a
-conjunction of bounds; a logistic model with an L1 penalty over all rules keeps few of them.
-Scoring needs no Python: statistics, rules and the logistic sum are column expressions.
+conjunction of bounds; a logistic model with an L1 penalty over all rules keeps few of them. Rules and the
+logistic sum are column expressions over the statistics. The statistics a kept rule needs, and no others, are taken from
+texts in Arrow batches, where counting a class of characters is one pass over bytes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log1p
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import held_out, id_and_text
+from .tables import held_out, id_and_text, with_carried
 
 #: Labelled rows fitted on: at most so many, those with the least hashes of their ids.
 FIT_ROWS = 20_000
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text; all 0 for null and empty text."""
-    t = F.coalesce(text, F.lit(""))
-    n = F.greatest(F.char_length(t), F.lit(1)).cast("double")
-    share = lambda chars: (F.char_length(t) - F.char_length(F.translate(t, chars, ""))) / n
-    words = F.split(t, "[ \n]+")
-    n_words = F.size(words).cast("double")
-    lines = F.split(t, "\n")
-    return {
-        "log_chars": F.log1p(F.char_length(t).cast("double")),
-        "symbols": share("!#$%&*+<=>@^_|~\\/{}[]"),
-        "upper": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "digits": share("0123456789"),
-        "stops": share(".,;:?"),
-        "breaks": share("\n"),
-        "word_chars": n / n_words,
-        "distinct_words": F.when(t != "", F.size(F.array_distinct(words)) / n_words).otherwise(0.0),
-        "distinct_lines": F.when(t != "", F.size(F.array_distinct(lines)) / F.size(lines)).otherwise(0.0),
-    }
+def _share(chars: bytes):
+    return lambda text, raw: (len(raw) - len(raw.translate(None, chars))) / len(text)
+
+
+def _distinct(parts: list[bytes]) -> float:
+    return len(set(parts)) / max(1, len(parts))
+
+
+#: Statistics of a whole text that is not empty, from its characters and its UTF-8 bytes.
+STATISTICS = {
+    "log_chars": lambda text, raw: log1p(len(text)),
+    "symbols": _share(b"!#$%&*+<=>@^_|~\\/{}[]"),
+    "upper": _share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    "digits": _share(b"0123456789"),
+    "stops": _share(b".,;:?"),
+    "breaks": _share(b"\n"),
+    "word_chars": lambda text, raw: len(text) / max(1, len(raw.split())),
+    "distinct_words": lambda text, raw: _distinct(raw.split()),
+    "distinct_lines": lambda text, raw: _distinct(raw.split(b"\n")),
+}
+
+
+def statistics(text: str | None, names: tuple[str, ...] = tuple(STATISTICS)) -> list[float]:
+    """The named statistics; all 0 for null and empty text."""
+    if not text:
+        return [0.0] * len(names)
+    raw = text.encode()
+    return [float(STATISTICS[n](text, raw)) for n in names]
+
+
+def measured(rows: DataFrame, names: tuple[str, ...], *, keep_text: bool = False) -> DataFrame:
+    """doc_id, a column per statistic, the text if asked, and the struct of columns to carry if rows have one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                part = whole.slice(at, 1000)
+                found = np.array([statistics(t, names) for t in part["text"].to_pylist()], float).reshape(part.num_rows, len(names))
+                others = [c for c in ("text", "carried") if c in part.schema.names and (c != "text" or keep_text)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *[pa.array(c) for c in found.T], *[part[c] for c in others]], ["doc_id", *names, *others])
+
+    return rows.mapInArrow(run, with_carried(", ".join(["doc_id long", *[f"{n} double" for n in names], *["text string"] * keep_text]), rows))
 
 
 @dataclass(frozen=True)
@@ -149,9 +176,14 @@ class RuleModel:
             total += w * r.holds(x)
         return 1 / (1 + np.exp(-total))
 
-    def column(self, get=F.col) -> Column:
-        """The score as an expression over what get gives for the statistics' names."""
-        columns = [get(n) for n in self.names]
+    def used(self) -> tuple[str, ...]:
+        """Names of the statistics that a kept rule bounds."""
+        some = {f for r in self.rules for f, _, _ in r.bounds}
+        return tuple(n for k, n in enumerate(self.names) if k in some)
+
+    def column(self) -> Column:
+        """The score as an expression over the columns of the statistics used."""
+        columns = [F.col(n) for n in self.names]
         total = F.lit(self.intercept)
         for r, w in zip(self.rules, self.weights, strict=True):
             total = total + F.when(r.column(columns), F.lit(w)).otherwise(F.lit(0.0))
@@ -163,32 +195,32 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS,
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where("doc_id is not null and y is not null").where(~held_out(F.col("doc_id")))
     chosen = chosen.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id")  # at most fit_rows rows
-    found = statistics(F.col("text"))
-    got = rows.select("doc_id", "y", *[c.alias(n) for n, c in found.items()]).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return RuleModel.fit(got[list(found)].to_numpy(float), got["y"].to_numpy(float), list(found))
+    rows = rows.select("doc_id", "text", F.struct("y").alias("carried"))
+    names = tuple(STATISTICS)
+    got = measured(rows, names).select("doc_id", "carried.y", *names).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    return RuleModel.fit(got[list(names)].to_numpy(float), got["y"].to_numpy(float), list(names))
 
 
-def scored(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score, and a struct of columns to carry if asked."""
-    rows = id_and_text(docs, id_col, text_col, carry)
-    # The statistics are bound to one variable, so that a filter on the score that moves down the plan still computes each once.
-    found = F.array(F.struct(*[c.alias(n) for n, c in statistics(F.col("text")).items()]))
-    score = F.transform(found, lambda s: model.column(lambda n: s[n]))[0]
-    return rows.select("doc_id", score.alias("score"), *["carried"] * bool(carry))
+def scored(docs: DataFrame, model: RuleModel, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """doc_id, score, the text if asked, and a struct of columns to carry if asked."""
+    rows = measured(id_and_text(docs, id_col, text_col, carry), model.used(), keep_text=keep_text)
+    return rows.select("doc_id", model.column().alias("score"), *["text"] * keep_text, *["carried"] * bool(carry))
 
 
 def score_quality(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from the threshold on) for every row.
 
     Null and empty texts are scored from statistics that are all 0. Null ids and repeated rows are
-    scored like others. No shuffle.
+    scored like others. An empty table gives no rows. No shuffle.
     """
     return scored(docs, model, id_col=id_col, text_col=text_col).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def keep_good(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7) -> DataFrame:
+def keep_good(docs: DataFrame, model: RuleModel, *, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """Rows that score at least the threshold, with the columns they came with."""
-    return scored(docs, model, carry=tuple(docs.columns)).where(F.col("score") >= threshold).select("carried.*")
+    others = tuple(c for c in docs.columns if c != text_col)
+    good = scored(docs, model, text_col=text_col, carry=others, keep_text=True)
+    return good.where(F.col("score") >= threshold).select(*[F.col("text").alias(c) if c == text_col else F.col(f"carried.`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
