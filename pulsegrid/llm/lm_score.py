@@ -1,15 +1,16 @@
 """Masked pseudo-likelihood of documents under a small bidirectional window network.
 
 Every word is predicted from the words around it, on both sides and without itself: embeddings by
-place are added, pass a tanh, and a softmax gives the word's class; within its class a word has its
-share of the corpus counts. A word outside the network's vocabulary is known to the network by its bucket, and has
-its own share of the bucket's counts by a join. A document's score is the sum of log p(word | context) over its words.
+place are added, pass a tanh, and a hierarchical softmax gives the word's probability: a binary tree over all words,
+frequent ones near the root, with a logistic unit at each fork that sees the context. A document's score is the sum of
+log p(word | context) over its words. A word outside the network's vocabulary is known to it by its bucket, a leaf
+like a word, and has its own share of the bucket's corpus counts by a join; so probabilities add up to 1 over all words.
 
-Vocabulary, buckets and classes grow with the corpus: the vocabulary with the square root of its words, so what is
-broadcast stays small beside the input, buckets in proportion to it, classes with its square root.
+Vocabulary and buckets grow with the corpus: the vocabulary with the square root of its words, so what is
+broadcast stays small beside the input, and buckets in proportion to it.
 
 Training covers the whole corpus: each task runs stochastic gradient descent over its texts from the same start, and the
-tasks' networks are averaged, embeddings weighted by how often a task saw the word.
+tasks' networks are averaged, each row weighted by how often a task used it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from math import isqrt
 
 import numpy as np
@@ -31,9 +33,47 @@ from .tables import frequent_from, id_and_text, written
 _PLACES = (-2, -1, 1, 2)
 
 
+class Tree:
+    """Huffman tree over leaves of given mass: the forks above each leaf, the side it lies on, and the forks' log odds."""
+
+    def __init__(self, mass: np.ndarray):
+        n = len(mass)
+        up = np.full(2 * n - 1, -1, np.int64)
+        right = np.zeros(2 * n - 1, np.int8)
+        odds = np.zeros(max(0, n - 1), np.float32)
+        heap = [(float(m), k) for k, m in enumerate(mass)]
+        heapify(heap)
+        for fork in range(n, 2 * n - 1):
+            (a, x), (b, y) = heappop(heap), heappop(heap)
+            up[x] = up[y] = fork
+            right[y] = 1
+            odds[fork - n] = np.log(b / a)
+            heappush(heap, (a + b, fork))
+        leaf, at = np.arange(n), np.arange(n)
+        steps = []
+        while len(at):
+            inner = up[at] >= 0
+            leaf, at = leaf[inner], at[inner]
+            steps.append((leaf, up[at] - n, 2 * right[at].astype(np.float32) - 1))
+            at = up[at]
+        leaf, fork, side = (np.concatenate(x) for x in zip(*steps, strict=True))
+        order = np.argsort(leaf, kind="stable")
+        self.fork, self.side, self.odds = fork[order].astype(np.int32), side[order].astype(np.int8), odds
+        self.depth = np.bincount(leaf, minlength=n)
+        self.first = self.depth.cumsum() - self.depth
+
+    def paths(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(forks, sides, row of leaves each belongs to, where each row begins) on the ways to some leaves."""
+        depth = self.depth[leaves]
+        row = np.repeat(np.arange(len(leaves)), depth)
+        begin = depth.cumsum() - depth
+        at = np.arange(len(row)) + (self.first[leaves] - begin)[row]
+        return self.fork[at], self.side[at].astype(np.float32), row, begin
+
+
 @dataclass
 class Vocabulary:
-    """The most frequent words, buckets for all others, and classes of about equal count.
+    """The most frequent words, and buckets for all others; leaves of one tree.
 
     bucket_mass holds the corpus counts of each bucket's words; without it they are taken as equal.
     """
@@ -42,7 +82,6 @@ class Vocabulary:
     counts: np.ndarray
     other: float
     buckets: int = 64
-    classes: int = 64
     bucket_mass: np.ndarray | None = None
 
     def __post_init__(self):
@@ -52,12 +91,7 @@ class Vocabulary:
         if self.bucket_mass is None:
             self.bucket_mass = np.full(self.buckets, max(1.0, self.other) / self.buckets)
         self.bucket_mass = np.maximum(self.bucket_mass, 1e-9)  # no word of the corpus meets an empty bucket
-        mass = np.concatenate([self.counts, self.bucket_mass])
-        before = mass.cumsum() - mass
-        self.group = np.minimum(self.classes - 1, (before / mass.sum() * self.classes).astype(np.int64))
-        self.log_within = np.log(mass / np.bincount(self.group, mass, self.classes)[self.group]).astype(np.float32)
-        prior = np.maximum(np.bincount(self.group, mass, self.classes), 1e-9)
-        self.log_prior = np.log(prior / prior.sum()).astype(np.float32)
+        self.tree = Tree(np.concatenate([self.counts, self.bucket_mass]))
 
     def ids(self, words: list[bytes]) -> list[int]:
         get, n, buckets = self.place.get, len(self.words), self.buckets
@@ -68,42 +102,51 @@ def bucket_of(word: bytes, buckets: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % buckets
 
 
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Rows of values added up by place."""
+    return np.stack([np.bincount(at, values[:, k], n) for k in range(values.shape[1])], 1)
+
+
 class Network:
-    """Parameters and one pass each way; all arrays are float32."""
+    """Embeddings by place, and weights and log odds of the tree's forks; all arrays are float32. Without training it gives
+    each word its share of the corpus."""
 
     def __init__(self, vocabulary: Vocabulary, width: int = 8, seed: int = 7):
         rng = np.random.default_rng(seed)
-        n = vocabulary.edge + 1
-        self.embed = (rng.standard_normal((len(_PLACES), n, width)) * 0.1).astype(np.float32)
-        self.out = (rng.standard_normal((width, vocabulary.classes)) * 0.1).astype(np.float32)
-        self.bias = vocabulary.log_prior.copy()
-        self.seen = np.zeros(n, np.float32)
+        n, forks = vocabulary.edge + 1, len(vocabulary.tree.odds)
+        self.parts = {f"place {k}": (rng.standard_normal((n, width)) * 0.3).astype(np.float32) for k in range(len(_PLACES))}
+        self.parts |= {"forks": np.zeros((forks, width), np.float32), "odds": vocabulary.tree.odds[:, None].copy()}
+        self.used = {name: np.zeros(len(x), np.float32) for name, x in self.parts.items()}
+        self.past = {name: np.full(len(x), 1e-6, np.float32) for name, x in self.parts.items()}
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.embed[0][context[:, 0]]
-        for k in range(1, len(_PLACES)):
-            total = total + self.embed[k][context[:, k]]
-        return np.tanh(total)
-
-    def log_classes(self, hidden: np.ndarray) -> np.ndarray:
-        z = hidden @ self.out + self.bias
-        z -= z.max(1, keepdims=True)
-        z -= np.log(np.exp(z).sum(1, keepdims=True))
-        return z
-
-    def learn(self, context: np.ndarray, group: np.ndarray, rate: float) -> None:
-        """One step on a batch of words."""
+        return np.tanh(sum(self.parts[f"place {k}"][context[:, k]] for k in range(len(_PLACES))))
+
+    def log_words(self, tree: Tree, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """log p(leaf | context) of each row."""
+        fork, side, row, begin = tree.paths(leaves)
+        z = side * (np.einsum("ij,ij->i", hidden[row], self.parts["forks"][fork]) + self.parts["odds"][fork, 0])
+        return np.add.reduceat(-np.logaddexp(0, -z), begin) if len(begin) else np.empty(0, np.float32)
+
+    def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
+        """One step on a batch of words. A row's steps get shorter with what it has moved before."""
         h = self.hidden(context)
-        d = np.exp(self.log_classes(h))
-        d[np.arange(len(group)), group] -= 1
-        d *= np.float32(rate / len(group))
-        back = (d @ self.out.T) * (1 - h * h) * np.float32(len(group) / 64)
-        self.out -= (h.T @ d) * np.float32(8)
-        self.bias -= d.sum(0)
-        width = self.out.shape[0]
-        lanes = np.arange(width)
+        fork, side, row, begin = tree.paths(leaves)
+        weights, seen = self.parts["forks"][fork], h[row]
+        z = side * (np.einsum("ij,ij->i", seen, weights) + self.parts["odds"][fork, 0])
+        pull = side / (1 + np.exp(np.minimum(z, 60)))
+        back = np.add.reduceat(pull[:, None] * weights, begin, axis=0) * (1 - h * h)
+        self._step("forks", fork, pull[:, None] * seen, rate)
+        self._step("odds", fork, pull[:, None], rate)
         for k in range(len(_PLACES)):
-            np.subtract.at(self.embed[k].reshape(-1), (context[:, k, None] * width + lanes).ravel(), back.ravel())
+            self._step(f"place {k}", context[:, k], back, rate)
+
+    def _step(self, name: str, at: np.ndarray, pull: np.ndarray, rate: float) -> None:
+        part = self.parts[name]
+        total = _sums(at, pull, len(part)).astype(np.float32)
+        self.past[name] += np.square(total).sum(1)
+        part += total * (rate / np.sqrt(self.past[name]))[:, None]
+        self.used[name] += np.bincount(at, minlength=len(part)).astype(np.float32)
 
 
 def contexts(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,7 +190,7 @@ def count_words(docs: DataFrame, least: int) -> tuple[Vocabulary, DataFrame]:
     size = vocabulary_size(total, least)
     top = counted.where(F.col("n") >= frequent_from(counted, size)).collect()  # at most size rows
     top = sorted(((r.n, bytes(r.word)) for r in top), key=lambda x: (-x[0], x[1]))
-    buckets, classes = max(64, size // 128), max(64, round(64 * (size / 8192) ** 0.5))
+    buckets = max(64, size // 128)
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass = np.zeros(buckets)
@@ -162,16 +205,17 @@ def count_words(docs: DataFrame, least: int) -> tuple[Vocabulary, DataFrame]:
     for n, w in top:
         mass[bucket_of(w, buckets)] -= n
     counts = np.array([n for n, _ in top], float)
-    return Vocabulary([w for _, w in top], counts, float(total - counts.sum()), buckets, classes, mass), counted
+    return Vocabulary([w for _, w in top], counts, float(total - counts.sum()), buckets, mass), counted
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, *, batch: int = 4096, rate: float = 0.5) -> Network:
+def train(docs: DataFrame, vocabulary: Vocabulary, *, rate: float = 0.3) -> Network:
     """One pass over all texts in every task, then the average of the tasks' networks."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the vocabulary's size
+    batch = max(4096, vocabulary.edge // 2)  # so a step's work on whole arrays stays in proportion to its words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
@@ -180,47 +224,39 @@ def train(docs: DataFrame, vocabulary: Vocabulary, *, batch: int = 4096, rate: f
         for part in slices(batches, 500, 1_000_000):
             ids, context, _ = contexts(v, part["text"].to_pylist())
             words += len(ids)
-            net.seen += np.bincount(context.ravel(), minlength=len(net.seen)).astype(np.float32)
             for at in range(0, len(ids), batch):
-                net.learn(context[at : at + batch], v.group[ids[at : at + batch]], rate)
+                net.learn(v.tree, context[at : at + batch], ids[at : at + batch], rate)
         if words:
-            rows = [(k, e.tobytes(), net.seen.tobytes(), float(words)) for k, e in enumerate(net.embed)]
-            rows += [(-1, net.out.tobytes(), b"", float(words)), (-2, net.bias.tobytes(), b"", float(words))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.float64()), strict=True)], ["part", "values", "seen", "words"])
+            yield _rows([(name, 0, x.tobytes(), net.used[name].tobytes()) for name, x in net.parts.items()])
 
-    trained = docs.mapInArrow(run, "part int, values binary, seen binary, words double")
+    trained = docs.mapInArrow(run, _PARTS)
     net = Network(vocabulary)
     # Averages of averages: about as many groups as each has networks, so no task holds many.
     groups = max(1, round(docs.rdd.getNumPartitions() ** 0.5))
     some = trained.withColumn("some", F.spark_partition_id() % groups).groupBy("part", "some").applyInArrow(_average, _PARTS)
-    spread = some.groupBy("part").applyInArrow(_average, _PARTS)
-    for r in spread.collect():  # one network
-        values = np.frombuffer(r["values"], np.float32)
-        if r.part >= 0:
-            net.embed[r.part] = values.reshape(net.embed[r.part].shape)
-        elif r.part == -1:
-            net.out = values.reshape(net.out.shape).copy()
-        else:
-            net.bias = values.copy()
+    for r in some.groupBy("part").applyInArrow(_average, _PARTS).collect():  # one network
+        net.parts[r.part] = np.frombuffer(r["values"], np.float32).reshape(net.parts[r.part].shape).copy()
     return net
 
 
-_PARTS = "part int, some int, values binary, seen binary, words double"
+_PARTS = "part string, some int, values binary, used binary"
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "some", "values", "used"])
 
 
 def _average(table: pa.Table) -> pa.Table:
+    """The mean of each row of arrays, weighted by its use; the plain mean of a row that none used."""
     rows = table.to_pylist()
-    words = sum(r["words"] for r in rows)
-    if rows[0]["part"] < 0:
-        values = sum(np.frombuffer(r["values"], np.float32) * np.float32(r["words"] / words) for r in rows)
-        seen = b""
-    else:
-        counts = [np.frombuffer(r["seen"], np.float32) for r in rows]
-        total = np.maximum(np.sum(counts, axis=0), 1e-9)
-        fresh = total < 1e-6
-        values = sum(np.frombuffer(r["values"], np.float32).reshape(len(total), -1) * np.where(fresh, 1 / len(rows), c / total)[:, None].astype(np.float32) for r, c in zip(rows, counts, strict=True))
-        seen = np.sum(counts, axis=0).astype(np.float32).tobytes()
-    return pa.table([pa.array([rows[0]["part"]], pa.int32()), pa.array([rows[0]["some"]], pa.int32()), pa.array([np.ascontiguousarray(values, np.float32).tobytes()], pa.binary()), pa.array([seen], pa.binary()), pa.array([words])], names=["part", "some", "values", "seen", "words"])
+    used = [np.frombuffer(r["used"], np.float32) for r in rows]
+    total = np.sum(used, axis=0)
+    values = 0
+    for r, n in zip(rows, used, strict=True):
+        share = np.where(total > 0, n / np.maximum(total, 1), 1 / len(rows)).astype(np.float32)
+        values = values + np.frombuffer(r["values"], np.float32).reshape(len(total), -1) * share[:, None]
+    return pa.Table.from_batches([_rows([(rows[0]["part"], rows[0]["some"], np.ascontiguousarray(values, np.float32).tobytes(), total.astype(np.float32).tobytes())])])
 
 
 def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None], batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -232,8 +268,7 @@ def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.n
     logs = np.empty(len(ids), np.float64)
     for at in range(0, len(ids), batch):
         some = slice(at, at + batch)
-        classes = net.log_classes(net.hidden(context[some]))
-        logs[some] = classes[np.arange(len(classes)), vocabulary.group[ids[some]]] + vocabulary.log_within[ids[some]]
+        logs[some] = net.log_words(vocabulary.tree, net.hidden(context[some]), ids[some])
     ends = lengths.cumsum()
     sums = np.concatenate([[0.0], logs.cumsum()])
     return lengths, sums[ends] - sums[ends - lengths]
@@ -243,9 +278,15 @@ def score_documents(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "d
     """Trains on all texts, then returns doc_id, n_words, log_likelihood (sum), per_word (mean) for each row.
 
     Null and empty texts have no words, log_likelihood 0 and per_word null. Null ids and repeated rows are
-    scored like others; an empty table gives no rows. The network knows `vocabulary` words, or more where the corpus
-    is large. A word beyond them gets its bucket's probability times its own share of the bucket's counts.
+    scored like others, and rows with equal texts score the same; an empty table gives no rows. The network knows
+    `vocabulary` words, or more where the corpus is large; of words with equal counts all or none. A word beyond them gets
+    its bucket's probability times its own share of the bucket's counts.
     """
+    return trained_scores(docs, vocabulary=vocabulary, id_col=id_col, text_col=text_col)[0]
+
+
+def trained_scores(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Vocabulary, Network, DataFrame]:
+    """The scores of score_documents, and what they were made with: vocabulary, network and the table (word, n) of all words."""
     rows = id_and_text(docs, id_col, text_col)
     words, counted = count_words(rows, vocabulary)
     net = train(rows, words)
@@ -271,7 +312,8 @@ def score_documents(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "d
     scored = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row long, doc_id long, n_words long, total double, rare array<binary>"))
     own = scored.select("row", F.explode("rare").alias("word")).join(counted, "word").groupBy("row").agg(F.sum(F.log("n")).alias("own"))
     out = scored.drop("rare").join(own, "row", "left").withColumn("log_likelihood", F.col("total") + F.coalesce("own", F.lit(0.0)))
-    return out.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("per_word"))
+    out = out.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("per_word"))
+    return out, words, net, counted
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -92,24 +92,71 @@ def test_scores_rise_with_training():
     texts = ["a b c d e f g h " * 40] * 20 + ["h g f e d c b a " * 40] * 2
     counts = Counter(w for t in texts for w in t.encode().split())
     words = sorted(counts)
-    v = lm_score.Vocabulary(words, np.array([counts[w] for w in words], float), 0.0, buckets=2, classes=8)
+    v = lm_score.Vocabulary(words, np.array([counts[w] for w in words], float), 0.0, buckets=2)
     net = lm_score.Network(v)
     before = lm_score.log_likelihoods(v, net, texts[:1])[1][0]
+    assert abs(before - 320 * np.log(1 / 8)) < 1  # shares of the corpus
     ids, context, _ = lm_score.contexts(v, texts)
     for _ in range(5):
         for at in range(0, len(ids), 512):
-            net.learn(context[at : at + 512], v.group[ids[at : at + 512]], 0.5)
+            net.learn(v.tree, context[at : at + 512], ids[at : at + 512], 0.3)
     n, after = lm_score.log_likelihoods(v, net, [texts[0], None, "", "a"])
-    assert after[0] > before * 0.7
+    assert after[0] > before * 0.3
     assert n.tolist() == [320, 0, 0, 1]
     assert after[1] == after[2] == 0
     assert np.isfinite(after).all()
 
 
-def test_class_probabilities_add_up():
-    v = lm_score.Vocabulary([b"a", b"b", b"c"], np.array([5.0, 3.0, 2.0]), 4.0, buckets=3, classes=2)
-    sums = np.bincount(v.group, np.exp(v.log_within), 2)
-    assert np.allclose(sums[np.unique(v.group)], 1)
+def direct_scores(v, net, text):
+    """log p of each word of a text, fork by fork, and the sum of probabilities over all leaves at each word."""
+    ids = v.ids((text or "").encode().lower().split())
+    line = [v.edge, v.edge, *ids, v.edge, v.edge]
+    leaves = len(v.words) + v.buckets
+    logs, sums = [], []
+    for k, leaf in enumerate(ids):
+        around = [line[k + 2 + p] for p in lm_score._PLACES]
+        hidden = np.tanh(sum(net.parts[f"place {j}"][w].astype(float) for j, w in enumerate(around)))
+
+        def log_p(x, hidden=hidden):
+            out = 0.0
+            for at in range(v.tree.first[x], v.tree.first[x] + v.tree.depth[x]):
+                f = v.tree.fork[at]
+                z = hidden @ net.parts["forks"][f] + net.parts["odds"][f, 0]
+                out -= np.log1p(np.exp(-z * v.tree.side[at]))
+            return out
+
+        logs.append(log_p(leaf))
+        sums.append(sum(np.exp(log_p(x)) for x in range(leaves)))
+    return logs, sums
+
+
+def test_word_probabilities_add_up_and_equal_direct_computation():
+    rng = np.random.default_rng(2)
+    words = [b"a", b"b", b"c", b"dd", b"e"]
+    v = lm_score.Vocabulary(words, np.array([50.0, 30.0, 20.0, 3.0, 1.0]), 4.0, buckets=3, bucket_mass=np.array([2.0, 0.0, 5.0]))
+    net = lm_score.Network(v)
+    net.parts = {k: x + rng.standard_normal(x.shape).astype(np.float32) * 0.5 for k, x in net.parts.items()}
+    for text in ("a b A c unknown dd e other a", "a"):
+        logs, sums = direct_scores(v, net, text)
+        assert np.allclose(sums, 1, atol=1e-4)
+        assert np.allclose(lm_score.log_likelihoods(v, net, [text])[1][0], sum(logs), atol=1e-4)
+
+
+def test_scores_of_the_query_equal_direct_sums(spark, docs):
+    """The network that was trained, and each word's own share of its bucket, recomputed word by word."""
+    got, v, net, counted = lm_score.trained_scores(docs, vocabulary=4)
+    counts = {bytes(r.word): r.n for r in counted.collect()}
+    expected = []
+    for i, t, *_ in awkward():
+        if t and len(t) > 5000:
+            continue
+        logs, _ = direct_scores(v, net, t)
+        rare = [w for w in (t or "").encode().translate(hashing._LOWER).split() if w not in v.place]
+        own = sum(np.log(counts[w] / v.bucket_mass[lm_score.bucket_of(w, v.buckets)]) for w in rare)
+        expected.append((i, len(logs), round(sum(logs) + own, 2)))
+    found = [(r.doc_id, r.n_words, r.log_likelihood) for r in got.collect() if r.n_words < 5000]
+    for (i, n, x), (j, m, y) in zip(sorted(expected, key=repr), sorted(found, key=repr), strict=True):
+        assert (i, n) == (j, m) and abs(x - y) < 0.05
 
 
 def test_lm_scoring(docs, nothing):
