@@ -108,36 +108,43 @@ def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Network:
-    """Embeddings by place, and weights and log odds of the tree's forks; all arrays are float32. Without training it gives
-    each word its share of the corpus."""
+    """Embeddings by place, and a row per fork of the tree, its weights and then its log odds; all arrays are float32. Without
+    training it gives each word its share of the corpus."""
 
     def __init__(self, vocabulary: Vocabulary, width: int = 8, seed: int = 7):
         rng = np.random.default_rng(seed)
-        n, forks = vocabulary.edge + 1, len(vocabulary.tree.odds)
+        n, odds = vocabulary.edge + 1, vocabulary.tree.odds
         self.parts = {f"place {k}": (rng.standard_normal((n, width)) * 0.3).astype(np.float32) for k in range(len(_PLACES))}
-        self.parts |= {"forks": np.zeros((forks, width), np.float32), "odds": vocabulary.tree.odds[:, None].copy()}
+        self.parts["forks"] = np.concatenate([np.zeros((len(odds), width), np.float32), odds[:, None]], 1)
         self.used = {name: np.zeros(len(x), np.float32) for name, x in self.parts.items()}
         self.past = {name: np.full(len(x), 1e-6, np.float32) for name, x in self.parts.items()}
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.parts[f"place {k}"][context[:, k]] for k in range(len(_PLACES))))
+        """What the context says, and a 1 that meets the forks' log odds."""
+        total = self.parts["place 0"][context[:, 0]]
+        for k in range(1, len(_PLACES)):
+            total += self.parts[f"place {k}"][context[:, k]]
+        return np.concatenate([np.tanh(total), np.ones((len(total), 1), np.float32)], 1)
 
     def log_words(self, tree: Tree, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
         """log p(leaf | context) of each row."""
+        if not len(leaves):
+            return np.empty(0, np.float32)
         fork, side, row, begin = tree.paths(leaves)
-        z = side * (np.einsum("ij,ij->i", hidden[row], self.parts["forks"][fork]) + self.parts["odds"][fork, 0])
-        return np.add.reduceat(-np.logaddexp(0, -z), begin) if len(begin) else np.empty(0, np.float32)
+        z = side * np.einsum("ij,ij->i", hidden[row], self.parts["forks"][fork])
+        return -np.add.reduceat(np.log1p(np.exp(-np.clip(z, -80, 80))), begin)
 
     def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One step on a batch of words. A row's steps get shorter with what it has moved before."""
         h = self.hidden(context)
         fork, side, row, begin = tree.paths(leaves)
         weights, seen = self.parts["forks"][fork], h[row]
-        z = side * (np.einsum("ij,ij->i", seen, weights) + self.parts["odds"][fork, 0])
-        pull = side / (1 + np.exp(np.minimum(z, 60)))
-        back = np.add.reduceat(pull[:, None] * weights, begin, axis=0) * (1 - h * h)
-        self._step("forks", fork, pull[:, None] * seen, rate)
-        self._step("odds", fork, pull[:, None], rate)
+        z = side * np.einsum("ij,ij->i", seen, weights)
+        pull = (side / (1 + np.exp(np.clip(z, -80, 80))))[:, None]
+        weights *= pull
+        seen *= pull
+        back = (np.add.reduceat(weights, begin, axis=0) * (1 - h * h))[:, :-1]
+        self._step("forks", fork, seen, rate)
         for k in range(len(_PLACES)):
             self._step(f"place {k}", context[:, k], back, rate)
 

@@ -121,7 +121,7 @@ def direct_scores(v, net, text):
             out = 0.0
             for at in range(v.tree.first[x], v.tree.first[x] + v.tree.depth[x]):
                 f = v.tree.fork[at]
-                z = hidden @ net.parts["forks"][f] + net.parts["odds"][f, 0]
+                z = hidden @ net.parts["forks"][f, :-1] + net.parts["forks"][f, -1]
                 out -= np.log1p(np.exp(-z * v.tree.side[at]))
             return out
 
