@@ -32,9 +32,30 @@ def lenient_timestamp(text: Column) -> Column:
     return text.try_cast("timestamp")
 
 
+def fixed_timestamp(text: Column) -> Column:
+    """`YYYY-MM-DD HH:MM:SS`, as daily summaries have it; null for any other form."""
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), text.try_cast("timestamp"))
+
+
+def required_timestamp(text: Column) -> Column:
+    """A timestamp, or an error that names the value: for columns in which nothing but times may stand."""
+    time = text.try_cast("timestamp")
+    return F.when(text.isNull() | time.isNotNull(), time).otherwise(F.raise_error(F.concat(F.lit("not a time: "), text)))
+
+
+def month_start(name: Column) -> Column:
+    """First day of a month named `YYYY-MM`; null for any other form."""
+    return F.when(name.rlike(r"^\d{4}-\d\d$"), F.concat(name, F.lit("-01")).try_cast("date"))
+
+
+def axis_label(date: Column, unit: str) -> Column:
+    """Label of a date on an axis of years, months or days."""
+    return F.date_format(date, {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}[unit])
+
+
 def normal_source(source: Column) -> Column:
-    """White space of any kind off both ends, lower case."""
-    return F.lower(F.regexp_replace(source, r"^\s+|\s+$", ""))
+    """White space of any script off both ends, lower case."""
+    return F.lower(F.regexp_replace(source, r"(?U)^\s+|\s+$", ""))
 
 
 def safe_name(name: Column) -> Column:
@@ -42,11 +63,6 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "_")
 
 
-def no_nan(value: Column) -> Column:
-    """NaN as null, so aggregates leave it out."""
-    return F.when(~F.isnan(value), value)
-
-
 def clip_upper(value: Column, limit: float | None) -> Column:
     """Values above the limit become it; null stays null."""
     return value if limit is None else F.when(value > limit, F.lit(float(limit))).otherwise(value)

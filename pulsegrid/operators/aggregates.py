@@ -80,18 +80,28 @@ def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     return not duplicate_keys(df, keys).isEmpty()
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Box plot numbers: quartiles, whiskers at the last values within 1.5 quartile distances, outliers' count."""
+def _fenced(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows with a value, the quartiles of their group, and inside: within 1.5 quartile distances of the box."""
     v = F.col(value)
-    q = df.where(v.isNotNull()).groupBy(*keys).agg(F.percentile(v, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
+    rows = df.where(v.isNotNull())
+    q = rows.groupBy(*keys).agg(F.percentile(v, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("__q"))
     q = q.select(*keys, *[F.col("__q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3"))])
     low, high = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    rows = df.where(v.isNotNull())
     rows = _null_safe_join(rows, q, keys) if keys else rows.crossJoin(F.broadcast(q))  # without keys q is one row
-    inside = v.between(low, high)
-    return rows.groupBy(*keys, "q1", "median", "q3").agg(
-        F.min(F.when(inside, v)).alias("whisker_low"),
-        F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+    return rows.withColumn("inside", v.between(low, high))
+
+
+def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Box plot numbers: quartiles, whiskers at the last values within 1.5 quartile distances, outliers' count."""
+    v = F.col(value)
+    return _fenced(df, keys, value).groupBy(*keys, "q1", "median", "q3").agg(
+        F.min(F.when(F.col("inside"), v)).alias("whisker_low"),
+        F.max(F.when(F.col("inside"), v)).alias("whisker_high"),
+        F.count_if(~F.col("inside")).alias("n_outliers"),
         F.count("*").alias("n"),
     )
+
+
+def fliers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The values a box plot draws one by one: those beyond the whiskers, with the keys of their group."""
+    return _fenced(df, keys, value).where(~F.col("inside")).select(*keys, value)

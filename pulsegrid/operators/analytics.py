@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip_upper, month
-from .aggregates import box_stats
+from ..functions.scalars import clip_upper, month, month_start
+from .aggregates import box_stats, fliers
 
 
 def in_dates(df: DataFrame, date: str, first: str, last: str) -> DataFrame:
@@ -33,6 +34,37 @@ def monthly_values(df: DataFrame, first: str, last: str, *, day_sum: bool = Fals
     return rows.select(month(F.col("__t")).alias("month"), clip_upper(F.col("value"), limit).alias("value"))
 
 
+def duration_hours(daily: DataFrame, first: str, last: str, seconds: str = "seconds", least_top: float = 200.0) -> DataFrame:
+    """(date, hours, axis_top) of daily seconds in the period; axis_top is the greatest value shown, least_top at least."""
+    days = in_dates(daily, "date", first, last).select("date", (F.col(seconds) / 3600).alias("hours"))
+    return days.crossJoin(F.broadcast(days.agg(F.greatest(F.max("hours"), F.lit(least_top)).alias("axis_top"))))  # one row
+
+
+def month_columns(df: DataFrame, first: str, last: str) -> list[str]:
+    """Columns named `YYYY-MM` whose first day lies in the period, in order."""
+    named = [c for c in df.columns if re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", c)]
+    return sorted(c for c in named if first <= f"{c}-01" <= last)
+
+
+def month_matrix_long(df: DataFrame, first: str, last: str, key: str = "participant_id") -> DataFrame:
+    """(key, month, month_start, bytes) from a matrix with a column per month, for the months of the period."""
+    months = month_columns(df, first, last)
+    if not months:
+        return df.select(key, F.lit(None).cast("string").alias("month"), F.lit(None).cast("date").alias("month_start"), F.lit(None).cast("bigint").alias("bytes")).limit(0)
+    rows = df.select(key, *[F.col(f"`{c}`").cast("bigint").alias(c) for c in months]).unpivot([key], [F.col(f"`{c}`") for c in months], "month", "bytes")
+    return rows.select(key, "month", month_start(F.col("month")).alias("month_start"), "bytes")
+
+
+def month_matrix_totals(df: DataFrame, first: str, last: str, key: str = "participant_id") -> DataFrame:
+    """Bytes of all rows per month of the period; 0 for a month of nulls."""
+    return month_matrix_long(df, first, last, key).groupBy("month", "month_start").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("total"))
+
+
+def month_fliers(df: DataFrame, first: str, last: str, **how) -> DataFrame:
+    """The values of each month that lie beyond its box plot's whiskers."""
+    return fliers(monthly_values(df, first, last, **how), ["month"], "value")
+
+
 def month_box(df: DataFrame, first: str, last: str, **how) -> DataFrame:
     """Box plot numbers per month."""
     return box_stats(monthly_values(df, first, last, **how), ["month"], "value")

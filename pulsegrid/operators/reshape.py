@@ -70,6 +70,7 @@ def ranked(df: DataFrame, *order: Column) -> DataFrame:
     return df.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
 
 
-def exact_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly n rows (or all) in a random order fixed by the seed."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def exact_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """Exactly n rows (or all): those with the least digests of seed and keys, so partitions and row order do not matter."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(digest, *keys).limit(n)

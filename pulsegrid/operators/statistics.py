@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import NO_TIME_ACCUMULATION
@@ -51,7 +51,7 @@ def presence_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.groupBy("participant_id").agg(*[F.max((F.col("name") == f).cast("bigint")).alias(f) for f in features])
 
 
-def coverage(df: DataFrame, height: str = "Height", weight: str = "Weight", bmi: str = "BodyMassIndex") -> DataFrame:
+def coverage(df: DataFrame, height: str = "Height", weight: str = "Weight", bmi: str = "BMI") -> DataFrame:
     """One row: participants with height and weight, with BMI, with all three."""
     has = df.groupBy("participant_id").agg(*[F.max(F.col("name") == n).alias(c) for n, c in ((height, "h"), (weight, "w"), (bmi, "b"))])
     return has.agg(F.count_if(F.expr("h and w")).alias("height_weight"), F.count_if("b").alias("bmi"), F.count_if(F.expr("h and w and b")).alias("all_three"))
@@ -62,6 +62,25 @@ def activity_totals(durations: DataFrame) -> DataFrame:
     return durations.groupBy("name").agg(F.sum("seconds").alias("seconds")).withColumn("hours", F.bround(F.col("seconds") / 3600).cast("bigint"))
 
 
+def in_order(report: DataFrame, name: str) -> DataFrame:
+    """A report's rows as it is read: sizes and feature counts descending, everything by date ascending; ties by name."""
+    first = {"folder_sizes": [F.desc("folder_size_bytes"), "participant_id"], "features_summary": [F.desc("count"), "feature"]}
+    return report.orderBy(*first.get(name, [c for c in ("date", "participant_id", "name") if c in report.columns] or report.columns))
+
+
+def ascending_counts(summary: DataFrame) -> DataFrame:
+    """Features by rising count, as a bar chart stacks them; ties by name. position counts from 0."""
+    return summary.withColumn("position", F.row_number().over(Window.orderBy("count", "feature")) - 1)  # a row per feature
+
+
+def percent_lines(classes: DataFrame) -> DataFrame:
+    """Classes as printed: `class: n users (p%)` with one decimal, and a last line with both sums, the percentage cut off."""
+    line = F.concat_ws("", "class", F.lit(": "), F.col("n").cast("string"), F.lit(" users ("), F.format_string("%.1f", "pct"), F.lit("%)"))
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("pct"), F.lit(0.0)).alias("pct"))
+    last = total.select(F.lit("Total").alias("class"), F.concat_ws("", F.lit("Total: "), F.col("n").cast("string"), F.lit(" users ("), F.round("pct", 6).cast("int").cast("string"), F.lit("%)")).alias("line"))
+    return classes.select("class", line.alias("line")).unionByName(last)
+
+
 def participants_saved(df: DataFrame) -> DataFrame:
     return df.agg(F.countDistinct("participant_id").alias("participants"))
 

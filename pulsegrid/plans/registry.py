@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from ..catalog import value_columns
 from ..functions.literals import literal_records
-from ..functions.scalars import lenient_timestamp, safe_name, strict_timestamp
+from ..functions.scalars import axis_label, lenient_timestamp, parent, required_timestamp, safe_name, strict_timestamp
 from ..operators import aggregates as agg
 from ..operators import analytics, reshape, segments, selection, statistics, windows
+from ..session import scratch
+from ..sources import export, sinks
 from ..streaming.incremental import contributions
+from .pipelines import run_etl, run_statistics, write_statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,13 +92,10 @@ def window_single_count(spark, sf_dir):
 
 
 @query(
-    """WITH h AS (SELECT *, date_trunc('hour', ts) AS hour FROM events WHERE ts < (SELECT max(ts) FROM events))
-SELECT user_id, event_type, epoch_us(hour) AS hour_us, count(*) AS n, round(sum(value), 6) AS total FROM h GROUP BY user_id, event_type, hour"""
+    "SELECT user_id, event_type, epoch_us(date_trunc('hour', ts)) AS hour_us, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)"
 )
 def dedupe_sum(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    latest = e.agg(F.max("ts").alias("latest"))
-    hours = e.crossJoin(F.broadcast(latest)).where("ts < latest").withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp")))  # latest is one row
+    hours = table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp")))
     return hours.groupBy("user_id", "event_type", us("hour", "hour_us")).agg(F.count("*").alias("n"), r6(agg.numeric("value", "sum"), "total"))
 
 
@@ -294,9 +294,9 @@ def daily_wide_outer(spark, sf_dir):
     return reshape.merge_outer([n.where(F.col("name") == t).select("date", F.col("n").alias(t)) for t in TYPES], "date")
 
 
-@query(" SELECT participant_id, date, " + ", ".join(f"CAST(count(*) FILTER (name = '{t}') AS BIGINT) AS \"{t}\"" for t in TYPES) + " FROM rec WHERE participant_id < 50 GROUP BY participant_id, date", rec=True)
+@query(" SELECT participant_id, date, " + ", ".join(f"CAST(count(*) FILTER (name = '{t}') AS BIGINT) AS \"{t}\"" for t in TYPES) + " FROM rec GROUP BY participant_id, date", rec=True)
 def daily_pivot(spark, sf_dir):
-    n = statistics.daily_counts(records(spark, sf_dir).where("participant_id < 50")).withColumn("key", F.struct("participant_id", "date"))
+    n = statistics.daily_counts(records(spark, sf_dir)).withColumn("key", F.struct("participant_id", "date"))
     return reshape.wide(n, "key", "name", F.sum("n"), TYPES).select("key.participant_id", "key.date", *TYPES)
 
 
@@ -326,12 +326,13 @@ def participants_saved(spark, sf_dir):
 
 
 @query(
-    """, p AS (SELECT participant_id, bool_or(name = 'view') AS h, bool_or(name = 'click') AS w, bool_or(name = 'error') AS b FROM rec WHERE date <= DATE '2024-01-02' GROUP BY participant_id)
+    """, p AS (SELECT participant_id, bool_or(name = 'view') AS h, bool_or(name = 'click') AS w, bool_or(name = 'error') AS b FROM rec GROUP BY participant_id)
 SELECT count(*) FILTER (h AND w) AS height_weight, count(*) FILTER (b) AS bmi, count(*) FILTER (h AND w AND b) AS all_three FROM p""",
     rec=True,
 )
 def coverage_hw_bmi(spark, sf_dir):
-    return statistics.coverage(analytics.in_dates(records(spark, sf_dir), "datetime", "2024-01-01", "2024-01-02"), "view", "click", "error")
+    files = F.create_map(*[F.lit(x) for x in ("view", "Height", "click", "Weight", "error", "BMI")])
+    return statistics.coverage(records(spark, sf_dir).withColumn("name", files[F.col("name")]))
 
 
 @query("SELECT source, CAST(sum(n_chars) AS BIGINT) AS folder_size_bytes FROM documents GROUP BY source")
@@ -392,16 +393,16 @@ def kde(spark, sf_dir):
 
 # Analytics ----------------------------------------------------------------------------------------
 
-_FC = ", f AS (SELECT participant_id, count(DISTINCT name) AS feature_count FROM rec WHERE date <= DATE '2024-01-02' GROUP BY participant_id)"
+_FC = ", f AS (SELECT participant_id, count(DISTINCT name) AS feature_count FROM rec GROUP BY participant_id)"
 
 
 def _counts(spark, sf_dir) -> DataFrame:
-    return analytics.feature_counts(analytics.in_dates(records(spark, sf_dir), "datetime", "2024-01-01", "2024-01-02"))
+    return analytics.feature_counts(records(spark, sf_dir))
 
 
 @query(f"{_FC} SELECT participant_id, feature_count FROM f ORDER BY feature_count DESC, participant_id LIMIT 50", rec=True)
 def top_features_by_row(spark, sf_dir):
-    matrix = statistics.presence_matrix(analytics.in_dates(records(spark, sf_dir), "datetime", "2024-01-01", "2024-01-02"), TYPES)
+    matrix = statistics.presence_matrix(records(spark, sf_dir), TYPES)
     return analytics.top_rows(analytics.row_sum(matrix, TYPES), 50).select("participant_id", "feature_count")
 
 
@@ -415,9 +416,9 @@ def hist_keep_top_bins(spark, sf_dir):
     return analytics.keep_top_bins(feature_count_hist(spark, sf_dir), 2)
 
 
-@query()
+@query("SELECT * FROM customer ORDER BY md5('42|' || c_custkey), c_custkey LIMIT 50")
 def sample_n(spark, sf_dir):
-    return reshape.exact_sample(table(spark, sf_dir, "customer"), 50)
+    return reshape.exact_sample(table(spark, sf_dir, "customer"), 50, ["c_custkey"])
 
 
 @query(" SELECT date, count(DISTINCT participant_id) AS active_devices FROM rec WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-10' GROUP BY date", rec=True)
@@ -425,11 +426,11 @@ def active_range(spark, sf_dir):
     return analytics.in_dates(active_devices(spark, sf_dir), "date", "2024-01-05", "2024-01-10")
 
 
-@query(" SELECT date, round(sum(eu - su) / 3600000000.0, 6) AS hours, round(greatest(max(sum(eu - su) / 3600000000.0) OVER (), 200), 6) AS axis_top FROM rec GROUP BY date", rec=True)
+@query(""", d AS (SELECT date, CAST(trunc(sum(eu - su) / 1000000.0) AS BIGINT) / 3600.0 AS hours FROM rec WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY date)
+SELECT date, round(hours, 6) AS hours, round(greatest(max(hours) OVER (), 200), 6) AS axis_top FROM d""", rec=True)
 def duration_hours(spark, sf_dir):
-    days = records(spark, sf_dir).groupBy(F.col("datetime").alias("date")).agg((F.sum(F.unix_micros("end_date") - F.unix_micros("start_date")) / 3.6e9).alias("hours"))
-    top = days.agg(F.greatest(F.max("hours"), F.lit(200.0)).alias("axis_top"))
-    return days.crossJoin(F.broadcast(top)).select("date", r6("hours", "hours"), r6("axis_top", "axis_top"))  # one row
+    days = statistics.daily_durations(records(spark, sf_dir), [])
+    return analytics.duration_hours(days, "2024-01-05", "2024-01-20").select("date", r6("hours", "hours"), r6("axis_top", "axis_top"))
 
 
 def _orders(spark, sf_dir) -> DataFrame:
@@ -445,6 +446,13 @@ def month_box(spark, sf_dir):
     return _box(analytics.month_box(_orders(spark, sf_dir), "1995-01-01", "1995-12-31", limit=300000), "month")
 
 
+@query(f"""WITH x AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_totalprice AS v FROM orders WHERE {_YEAR}),
+q AS (SELECT *, quantile_cont(v, 0.25) OVER w AS a, quantile_cont(v, 0.75) OVER w AS b FROM x WHERE v IS NOT NULL WINDOW w AS (PARTITION BY month))
+SELECT month, round(v, 4) AS value FROM q WHERE NOT v BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)""")
+def month_fliers(spark, sf_dir):
+    return analytics.month_fliers(_orders(spark, sf_dir), "1995-01-01", "1995-12-31").select("month", F.round("value", 4).alias("value"))
+
+
 @query(
     f"""WITH x AS (SELECT 'open' AS feature, strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN o_totalprice > 200000 THEN 200000.0 ELSE o_totalprice END AS v FROM orders WHERE {_YEAR} AND o_orderstatus = 'O'
 UNION ALL SELECT 'other', strftime(o_orderdate, '%Y-%m'), o_totalprice FROM orders WHERE {_YEAR} AND o_orderstatus <> 'O') """
@@ -524,14 +532,159 @@ def bmi_classes(spark, sf_dir):
 
 
 @query(
-    """, d AS (SELECT name, date, count(*) AS n FROM rec GROUP BY ALL), a AS (SELECT date, count(DISTINCT participant_id) AS k FROM rec WHERE date > DATE '2024-01-03' GROUP BY date)
+    """, d AS (SELECT name, date, count(*) AS n FROM rec GROUP BY ALL), a AS (SELECT date, count(DISTINCT participant_id) AS k FROM rec GROUP BY date)
 SELECT name, date, round(CASE WHEN k > 0 THEN n / CAST(k AS DOUBLE) ELSE 0.0 END, 6) AS n FROM d LEFT JOIN a USING (date)""",
     rec=True,
 )
 def norm_by_active(spark, sf_dir):
     rec = records(spark, sf_dir)
-    active = statistics.active_devices(rec.where("datetime > date'2024-01-03'"))
-    return statistics.normalise_by_active(statistics.daily_counts(rec, ["name"]), active, ["n"]).select("name", "date", r6("n", "n"))
+    return statistics.normalise_by_active(statistics.daily_counts(rec, ["name"]), statistics.active_devices(rec), ["n"]).select("name", "date", r6("n", "n"))
+
+
+_MONTHS = [f"1995-{k:02d}" for k in range(1, 13)] + [f"1996-{k:02d}" for k in range(1, 13)]
+
+
+def month_matrix(spark, sf_dir) -> DataFrame:
+    """A row per customer and a column per month, as the matrix of bytes per participant that charts start from."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("participant_id"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_totalprice").cast("bigint").alias("bytes"))
+    return o.groupBy("participant_id").pivot("month", _MONTHS).agg(F.sum("bytes"))
+
+
+_CELLS = "WITH c AS (SELECT o_custkey AS participant_id, strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(CAST(trunc(o_totalprice) AS BIGINT)) AS BIGINT) AS bytes FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-03-15' AND TIMESTAMP '1996-06-30 23:59:59' GROUP BY ALL)"
+
+
+@query(f"{_CELLS} SELECT month, CAST(month || '-01' AS DATE) AS month_start, CAST(sum(bytes) AS BIGINT) AS total FROM c WHERE month BETWEEN '1995-04' AND '1996-06' GROUP BY month")
+def month_matrix_totals(spark, sf_dir):
+    """The period begins in the middle of March 1995, whose column therefore is left out."""
+    return analytics.month_matrix_totals(month_matrix(spark, sf_dir), "1995-03-15", "1996-06-30")
+
+
+@query(f"{_CELLS} SELECT participant_id, month, CAST(month || '-01' AS DATE) AS month_start, bytes FROM c WHERE month BETWEEN '1995-04' AND '1995-06'")
+def month_matrix_long(spark, sf_dir):
+    return analytics.month_matrix_long(month_matrix(spark, sf_dir), "1995-03-15", "1995-06-30").where("bytes is not null")
+
+
+@query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+def axis_labels(spark, sf_dir):
+    dates = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+    return dates.select("date", *[axis_label(F.col("date"), u).alias(u) for u in ("year", "month", "day")])
+
+
+@query(" , f AS (SELECT name AS feature, count(DISTINCT participant_id) AS count FROM rec GROUP BY name) SELECT feature, count, CAST(row_number() OVER (ORDER BY count, feature) - 1 AS INTEGER) AS position FROM f", rec=True)
+def feature_counts_ascending(spark, sf_dir):
+    return statistics.ascending_counts(feature_summary(spark, sf_dir))
+
+
+@query(
+    """, m AS (SELECT participant_id, median(value) AS v FROM rec GROUP BY participant_id),
+c AS (SELECT CASE WHEN v < 4 THEN 'Normal' WHEN v < 6 THEN 'Overweight' ELSE 'Obese' END AS class, count(*) AS n FROM m WHERE v IS NOT NULL GROUP BY 1),
+p AS (SELECT class, n, n * 100.0 / sum(n) OVER () AS pct FROM c)
+SELECT class, class || ': ' || n || ' users (' || printf('%.1f', pct) || '%)' AS line FROM p
+UNION ALL SELECT 'Total', 'Total: ' || sum(n) || ' users (' || CAST(trunc(round(sum(pct), 6)) AS INTEGER) || '%)' FROM p""",
+    rec=True,
+)
+def bmi_summary_lines(spark, sf_dir):
+    return statistics.percent_lines(statistics.bmi_classes(records(spark, sf_dir), cuts=(4.0, 6.0)))
+
+
+@query("SELECT event_id, epoch_us(ts) AS at_us FROM events")
+def required_times(spark, sf_dir):
+    text = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return table(spark, sf_dir, "events").select("event_id", F.unix_micros(required_timestamp(text)).alias("at_us"))
+
+
+# Files: each query writes to a new folder of the shared one and reads from there ------------------------------
+
+
+def export_tree(spark, sf_dir) -> str:
+    """Customers as an export: a folder per nation, half of the rows of each in a file with its columns in another order."""
+    c = table(spark, sf_dir, "customer")
+    at = lambda s: F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("c_custkey") * 60 + s), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+0000'")
+    record = F.concat(F.lit("'[{'id': 1, 'start_date': '"), at(0), F.lit("', 'end_date': '"), at(60), F.lit("', 'value': "), F.col("c_acctbal").cast("string"), F.lit("}]'"))
+    rows = c.select(F.col("c_nationkey").alias("folder"), F.lit("HeartRate").alias("name"), F.when(F.col("c_custkey") % 10 == 0, "'nonsense'").otherwise(record).alias("data"), F.when(F.col("c_custkey") % 10 == 1, "other").otherwise(" AppleHealthKit").alias("data_source"), F.col("c_nationkey").cast("string").alias("participant_id"), F.lit("2024-01-01").alias("datetime"), (F.col("c_custkey") % 2).alias("half"))
+    path = scratch(spark)
+    for half, columns in ((0, ("name", "data", "data_source", "participant_id", "datetime")), (1, ("datetime", "participant_id", "data", "note", "data_source", "name"))):
+        rows.where(F.col("half") == half).withColumn("note", F.lit("a, b")).select("folder", *columns).repartition("folder").write.mode("append").partitionBy("folder").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS participant_id, name, CAST(1704067200 + c_custkey * 60 AS BIGINT) * 1000000 AS start_us, round(c_acctbal, 6) AS value, 'folder=' || c_nationkey AS participant_dir FROM customer, (SELECT 'HeartRate' AS name) WHERE c_custkey % 10 > 1")
+def export_records(spark, sf_dir):
+    raw = export.read_raw(spark, export_tree(spark, sf_dir))
+    out = export.parse_records(raw)
+    return out.select("participant_id", "name", us("start_date", "start_us"), r6("value", "value"), parent(F.col("file")).alias("participant_dir"))
+
+
+@query("SELECT 'folder=' || c_nationkey AS participant_dir, 'not a literal of records' AS reason, count(*) AS n FROM customer WHERE c_custkey % 10 = 0 GROUP BY ALL")
+def export_rejects(spark, sf_dir):
+    found = export.checked(export.read_tree(spark, export_tree(spark, sf_dir))).where("reason is not null")
+    return found.groupBy(parent(F.col("file")).alias("participant_dir"), "reason").agg(F.count("*").alias("n"))
+
+
+_BY_WINDOW = "SELECT CAST(c_nationkey AS VARCHAR) AS participant_id, ((1704067200 + c_custkey * 60) // 300) * 300000000 AS start_us, round(median(c_acctbal), 6) AS value FROM customer WHERE c_custkey % 10 > 1 GROUP BY ALL"
+
+
+@query(_BY_WINDOW)
+def etl_resumed(spark, sf_dir):
+    """A run over the files, and a second that finds nothing new, which leaves the table as it is."""
+    source, target = export_tree(spark, sf_dir), scratch(spark)
+    for _ in range(2):
+        run_etl(spark, source, target)
+    rows = sinks.read_feature(spark, f"{target}/features", "HeartRate")
+    return rows.select("participant_id", us("start_date", "start_us"), r6("value", "value"))
+
+
+@query("SELECT 'folder=' || c_nationkey AS participant_dir, CAST(count(DISTINCT c_custkey % 2) AS BIGINT) AS files FROM customer GROUP BY c_nationkey")
+def etl_log(spark, sf_dir):
+    source, target = export_tree(spark, sf_dir), scratch(spark)
+    run_etl(spark, source, target)
+    log = sinks.read_log(spark, f"{target}/log")
+    return log.groupBy(F.substring_index("filename", "/", 1).alias("participant_dir")).agg(F.count("*").alias("files"))
+
+
+def _reports(spark, sf_dir) -> str:
+    target = scratch(spark)
+    files = table(spark, sf_dir, "documents").select(F.col("source").alias("participant_id"), F.col("n_chars").alias("length"))
+    reports = run_statistics(records(spark, sf_dir), files)
+    write_statistics({k: reports[k] for k in ("folder_sizes", "features_summary", "features_by_id", "activity_counts", "activity_durations", "active_devices", "counts_by_participant")}, target)
+    return target
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """place: the row's number in its one file."""
+    return rows.withColumn("place", F.monotonically_increasing_id())
+
+
+@query("SELECT source AS participant_id, CAST(sum(n_chars) AS BIGINT) AS folder_size_bytes, row_number() OVER (ORDER BY sum(n_chars) DESC, source) - 1 AS place FROM documents GROUP BY source")
+def report_folder_sizes(spark, sf_dir):
+    return _in_file_order(spark.read.option("header", True).schema("participant_id string, folder_size_bytes long").csv(f"{_reports(spark, sf_dir)}/logfile_folder_sizes"))
+
+
+@query(" SELECT name AS feature, count(DISTINCT participant_id) AS count, row_number() OVER (ORDER BY count(DISTINCT participant_id) DESC, name) - 1 AS place FROM rec GROUP BY name", rec=True)
+def report_features_summary(spark, sf_dir):
+    return _in_file_order(spark.read.option("header", True).schema("feature string, count long").csv(f"{_reports(spark, sf_dir)}/logfile_features_summary"))
+
+
+@query(" SELECT date, " + ", ".join(f"count(*) FILTER (name = '{t}') AS \"{t}\"" for t in TYPES) + ", row_number() OVER (ORDER BY date) - 1 AS place FROM rec GROUP BY date", rec=True)
+def report_activity_counts(spark, sf_dir):
+    rows = spark.read.option("header", True).csv(f"{_reports(spark, sf_dir)}/logfile_activity_counts")
+    return _in_file_order(rows.select(F.col("date").cast("date"), *[F.col(t).cast("long") for t in TYPES]))
+
+
+@query(" SELECT CAST(participant_id AS BIGINT) AS participant_id, date, " + ", ".join(f"count(*) FILTER (name = '{t}') AS \"{t}\"" for t in TYPES) + " FROM rec GROUP BY participant_id, date", rec=True)
+def report_counts_by_participant(spark, sf_dir):
+    rows = spark.read.option("header", True).csv(f"{_reports(spark, sf_dir)}/logfile_counts_by_participant")
+    return rows.select(F.col("participant_id").cast("long"), F.col("date").cast("date"), *[F.col(t).cast("long") for t in TYPES])
+
+
+@query(f"{_SEG} SELECT participant_id, name, CAST(count(*) AS BIGINT) AS n FROM s JOIN g USING (participant_id, name, seg) WHERE last_us - first_us >= 18000000000 AND name = 'click' GROUP BY ALL", rec=True)
+def series_written(spark, sf_dir):
+    """Continuous rows of one feature, written twice; the second run replaces the first."""
+    target = scratch(spark)
+    rows = segments.continuous_rows(records(spark, sf_dir).where("name = 'click'"), "300min", **_WHEN)
+    for _ in range(2):
+        sinks.write_series(rows, target)
+    return spark.read.schema(rows.schema).parquet(target).groupBy("participant_id", "name").agg(F.count("*").alias("n"))
 
 
 # Sets ---------------------------------------------------------------------------------------------

@@ -27,10 +27,11 @@ def combined(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(*_KEYS).agg(F.median("value").alias("value"), F.count("*").alias("n"))
 
 
-def start(spark: SparkSession, source: str, store: str, checkpoint: str, *, width: str = "5min", cumulative: tuple[str, ...] = (), watermark: str | None = None) -> StreamingQuery:
-    """Follows a folder of record files; each is read once and its shares are stored."""
+def start(spark: SparkSession, source: str, store: str, checkpoint: str, *, width: str = "5min", cumulative: tuple[str, ...] = ()) -> StreamingQuery:
+    """Follows a folder of record files; each is read once and its shares are stored.
+
+    No state is kept between batches, so late rows need no watermark: they join their window when it is read.
+    """
     stream = spark.readStream.schema(RECORDS).parquet(source)
-    if watermark:
-        stream = stream.withWatermark("start_date", watermark)
     shares = contributions(stream, width, cumulative)
     return shares.writeStream.foreachBatch(lambda df, k: store_batch(df, k, store)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -150,6 +150,50 @@ def test_normalising_without_active_devices(spark):
     assert [r.n for r in statistics.normalise_by_active(daily, active, ["n"]).orderBy("date").collect()] == [2.0, 0.0, 0.0]
 
 
+def test_coverage_looks_for_the_files_names(spark):
+    rows = [(1, "Height"), (1, "Weight"), (1, "BMI"), (2, "BMI"), (3, "Height"), (3, "Weight"), (4, "Height")]
+    assert tuple(statistics.coverage(spark.createDataFrame(rows, "participant_id int, name string")).first()) == (2, 2, 1)
+
+
+def test_percent_lines(spark):
+    assert statistics.percent_lines(spark.createDataFrame([], "class string, n long, pct double")).first().line == "Total: 0 users (0%)"
+    lines = statistics.percent_lines(spark.createDataFrame([("Normal", 1, 100 / 3), ("Obese", 2, 200 / 3)], "class string, n long, pct double")).collect()
+    assert [r.line for r in lines] == ["Normal: 1 users (33.3%)", "Obese: 2 users (66.7%)", "Total: 3 users (100%)"]
+
+
+def test_required_times_raise(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00",), (None,)], "t string").select(scalars.required_timestamp(F.col("t")).alias("t"))
+    assert df.where("t is not null").count() == 1
+    with pytest.raises(Exception, match="not a time: soon"):
+        spark.createDataFrame([("soon",)], "t string").select(scalars.required_timestamp(F.col("t")).alias("t")).collect()
+
+
+def test_month_columns(spark):
+    df = spark.createDataFrame([(1, 5, None, 7, "x"), (2, 1, None, 1, "y")], "participant_id int, `2024-01` long, `2024-02` long, `2024-03` long, note string")
+    assert analytics.month_columns(df, "2024-01-02", "2024-03-01") == ["2024-02", "2024-03"]
+    assert sorted((r.month, r.total) for r in analytics.month_matrix_totals(df, "2024-01-01", "2024-12-31").collect()) == [("2024-01", 6), ("2024-02", 0), ("2024-03", 8)]
+    assert analytics.month_matrix_totals(df, "2025-01-01", "2025-12-31").count() == 0
+    few = spark.createDataFrame([("2024-13",), ("2024-02",), ("soon",)], "m string").select(scalars.month_start(F.col("m")).alias("d")).collect()
+    assert [r.d for r in few] == [None, date(2024, 2, 1), None]
+
+
+def test_fliers_lie_beyond_the_whiskers(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in [1, 2, 3, 4, 5, 100]] + [("b", 1.0), ("b", None)], "k string, v double")
+    assert [tuple(r) for r in aggregates.fliers(df, ["k"], "v").collect()] == [("a", 100.0)]
+    assert sum(r.n_outliers for r in aggregates.box_stats(df, ["k"], "v").collect()) == 1
+
+
+def test_a_sample_does_not_depend_on_partitions(spark):
+    df = spark.range(500)
+    a, b = (sorted(r.id for r in reshape.exact_sample(d, 20, ["id"]).collect()) for d in (df, df.orderBy(F.desc("id")).repartition(7)))
+    assert a == b and len(a) == 20 and a != sorted(r.id for r in reshape.exact_sample(df, 20, ["id"], seed=1).collect())
+
+
+def test_sources_with_any_blanks(spark):
+    df = spark.createDataFrame([("\u00a0\u3000AppleHealthKit\u2003",)], "data_source string")
+    assert selection.from_source(df).count() == 1
+
+
 def test_a_day_of_nulls_sums_to_zero(spark):
     df = spark.createDataFrame([(at("10:00"), None)], "start_date timestamp, value double")
     assert analytics.daily_sum(df).first().value == 0.0
