@@ -5,6 +5,7 @@ place are added, pass a tanh, and a hierarchical softmax gives the word's probab
 frequent ones near the root, with a logistic unit at each fork that sees the context. A document's score is the sum of
 log p(word | context) over its words. A word outside the network's vocabulary is known to it by its bucket, a leaf
 like a word, and has its own share of the bucket's corpus counts by a join; so probabilities add up to 1 over all words.
+Words are told apart by 64-bit hashes.
 
 Vocabulary and buckets grow with the corpus: the vocabulary with the square root of its words, so what is
 broadcast stays small beside the input, and buckets in proportion to it.
@@ -15,7 +16,6 @@ tasks' networks are averaged, each row weighted by how often a task used it.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -23,11 +23,10 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import slices, words_of
+from .hashing import Block, slices, words_of
 from .tables import frequent_from, id_and_text, written
 
 _PLACES = (-2, -1, 1, 2)
@@ -73,12 +72,12 @@ class Tree:
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, and buckets for all others; leaves of one tree.
+    """The most frequent words, by hash, and buckets for all others; leaves of one tree.
 
     bucket_mass holds the corpus counts of each bucket's words; without it they are taken as equal.
     """
 
-    words: list[bytes]
+    words: np.ndarray
     counts: np.ndarray
     other: float
     buckets: int = 64
@@ -87,19 +86,30 @@ class Vocabulary:
     def __post_init__(self):
         n = len(self.words)
         self.edge = n + self.buckets  # stands beyond the ends of a text
-        self.place = {w: k for k, w in enumerate(self.words)}
+        self.order = np.argsort(self.words)
+        self.sorted = self.words[self.order]
         if self.bucket_mass is None:
             self.bucket_mass = np.full(self.buckets, max(1.0, self.other) / self.buckets)
         self.bucket_mass = np.maximum(self.bucket_mass, 1e-9)  # no word of the corpus meets an empty bucket
         self.tree = Tree(np.concatenate([self.counts, self.bucket_mass]))
 
-    def ids(self, words: list[bytes]) -> list[int]:
-        get, n, buckets = self.place.get, len(self.words), self.buckets
-        return [k if (k := get(w)) is not None else n + bucket_of(w, buckets) for w in words]
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        """Leaves of words given by hash."""
+        out = (len(self.words) + words % np.uint64(self.buckets)).astype(np.int64)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.sorted, words), len(self.words) - 1)
+            known = self.sorted[at] == words
+            out[known] = self.order[at[known]]
+        return out
 
 
-def bucket_of(word: bytes, buckets: int) -> int:
-    return xxhash.xxh3_64_intdigest(word) % buckets
+def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
+    return (words % np.uint64(buckets)).astype(np.int64)
+
+
+def hashed(texts: list[str | None]) -> Block:
+    """Hashes of the texts' words, A-Z lowered."""
+    return Block([words_of(t, True) for t in texts])
 
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -156,20 +166,14 @@ class Network:
         self.used[name] += np.bincount(at, minlength=len(part)).astype(np.float32)
 
 
-def contexts(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def contexts(vocabulary: Vocabulary, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, their contexts, words per text) of some texts; places beyond a text hold the edge."""
     reach = max(_PLACES)
-    edge = [vocabulary.edge] * reach
-    flat, lengths = list(edge), []
-    for t in texts:
-        ids = vocabulary.ids(words_of(t, True))
-        lengths.append(len(ids))
-        flat += ids
-        flat += edge
-    padded = np.array(flat, np.int64)
-    n = np.array(lengths, np.int64)
-    at = np.flatnonzero(padded != vocabulary.edge)
-    return padded[at], np.stack([padded[at + p] for p in _PLACES], 1) if len(at) else np.empty((0, len(_PLACES)), np.int64), n
+    ids = vocabulary.ids(block.words)
+    at = np.arange(len(ids)) + reach * (block.doc + 1)
+    padded = np.full(len(ids) + reach * (len(block.lengths) + 1), vocabulary.edge, np.int64)
+    padded[at] = ids
+    return ids, np.stack([padded[at + p] for p in _PLACES], 1), block.lengths
 
 
 def vocabulary_size(words: int, least: int) -> int:
@@ -182,54 +186,44 @@ def count_words(docs: DataFrame, least: int) -> tuple[Vocabulary, DataFrame]:
     """The vocabulary, and the table (word, n) of all words of the corpus, which stays in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for part in slices(batches, 500):
-            for t in part["text"].to_pylist():
-                counts.update(words_of(t, True))
-            if len(counts) > 300_000:
-                yield _counted(counts)
-                counts.clear()
-        if counts:
-            yield _counted(counts)
-
-    counted = written(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        for part in slices(batches, 5000):
+            words, n = np.unique(hashed(part["text"].to_pylist()).words, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    counted = written(docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = counted.agg(F.sum("n")).first()[0] or 0
     size = vocabulary_size(total, least)
     top = counted.where(F.col("n") >= frequent_from(counted, size)).collect()  # at most size rows
-    top = sorted(((r.n, bytes(r.word)) for r in top), key=lambda x: (-x[0], x[1]))
+    top = sorted(((r.n, r.word) for r in top), key=lambda x: (-x[0], x[1]))
+    words = np.array([w for _, w in top], np.int64).view(np.uint64)
     buckets = max(64, size // 128)
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass = np.zeros(buckets)
         for part in batches:
-            at = np.fromiter((bucket_of(w, buckets) for w in part["word"].to_pylist()), np.int64, part.num_rows)
+            at = bucket_of(np.asarray(part["word"]).view(np.uint64), buckets)
             mass += np.bincount(at, np.asarray(part["n"]), buckets)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(mass)], ["bucket", "n"])
 
     mass = np.zeros(buckets)
     for r in counted.mapInArrow(masses, "bucket long, n double").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket
         mass[r.bucket] = r.n
-    for n, w in top:
-        mass[bucket_of(w, buckets)] -= n
     counts = np.array([n for n, _ in top], float)
-    return Vocabulary([w for _, w in top], counts, float(total - counts.sum()), buckets, mass), counted
-
-
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    mass -= np.bincount(bucket_of(words, buckets), counts, buckets)
+    return Vocabulary(words, counts, float(total - counts.sum()), buckets, mass), counted
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, *, rate: float = 0.3) -> Network:
+def train(docs: DataFrame, vocabulary: Vocabulary, *, rate: float = 0.5) -> Network:
     """One pass over all texts in every task, then the average of the tasks' networks."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the vocabulary's size
-    batch = max(4096, vocabulary.edge // 2)  # so a step's work on whole arrays stays in proportion to its words
+    batch = max(16384, vocabulary.edge)  # so a step's work on whole arrays stays in proportion to its words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         net = Network(v)
         words = 0
         for part in slices(batches, 500, 1_000_000):
-            ids, context, _ = contexts(v, part["text"].to_pylist())
+            ids, context, _ = contexts(v, hashed(part["text"].to_pylist()))
             words += len(ids)
             for at in range(0, len(ids), batch):
                 net.learn(v.tree, context[at : at + batch], ids[at : at + batch], rate)
@@ -268,7 +262,7 @@ def _average(table: pa.Table) -> pa.Table:
 
 def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None], batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     """(words, summed log p(word or its bucket | context)) of each text."""
-    return _summed(vocabulary, net, *contexts(vocabulary, texts), batch)
+    return _summed(vocabulary, net, *contexts(vocabulary, hashed(texts)), batch)
 
 
 def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -304,19 +298,18 @@ def trained_scores(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "do
         known = len(v.words)
         log_mass = np.log(v.bucket_mass)
         for part in slices(batches, 500, 1_000_000):
-            texts = part["text"].to_pylist()
-            ids, context, n = contexts(v, texts)
+            block = hashed(part["text"].to_pylist())
+            ids, context, n = contexts(v, block)
             n, total = _summed(v, network, ids, context, n)
             rare = ids >= known
-            doc = np.repeat(np.arange(len(n)), n)[rare]
+            doc = block.doc[rare]
             total = total - np.bincount(doc, log_mass[ids[rare] - known], len(n))
             ends = np.concatenate([[0], np.bincount(doc, minlength=len(n)).cumsum()])
-            get = v.place.__contains__
-            found = pa.array([w for t in texts for w in words_of(t, True) if not get(w)], pa.binary())
+            found = pa.array(block.words[rare].view(np.int64))
             yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], ["row", "doc_id", "n_words", "total", "rare"])
 
     # The row number is only used from the written table on, so a task run again cannot change it.
-    scored = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row long, doc_id long, n_words long, total double, rare array<binary>"))
+    scored = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row long, doc_id long, n_words long, total double, rare array<long>"))
     own = scored.select("row", F.explode("rare").alias("word")).join(counted, "word").groupBy("row").agg(F.sum(F.log("n")).alias("own"))
     out = scored.drop("rare").join(own, "row", "left").withColumn("log_likelihood", F.col("total") + F.coalesce("own", F.lit(0.0)))
     out = out.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("per_word"))

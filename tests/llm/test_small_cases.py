@@ -88,15 +88,19 @@ def test_token_counts(docs, nothing):
 # Language-model scoring
 
 
+def hashes(words):
+    return np.array([hashing._known[w] for w in words], np.uint64)
+
+
 def test_scores_rise_with_training():
     texts = ["a b c d e f g h " * 40] * 20 + ["h g f e d c b a " * 40] * 2
     counts = Counter(w for t in texts for w in t.encode().split())
     words = sorted(counts)
-    v = lm_score.Vocabulary(words, np.array([counts[w] for w in words], float), 0.0, buckets=2)
+    v = lm_score.Vocabulary(hashes(words), np.array([counts[w] for w in words], float), 0.0, buckets=2)
     net = lm_score.Network(v)
     before = lm_score.log_likelihoods(v, net, texts[:1])[1][0]
     assert abs(before - 320 * np.log(1 / 8)) < 1  # shares of the corpus
-    ids, context, _ = lm_score.contexts(v, texts)
+    ids, context, _ = lm_score.contexts(v, lm_score.hashed(texts))
     for _ in range(5):
         for at in range(0, len(ids), 512):
             net.learn(v.tree, context[at : at + 512], ids[at : at + 512], 0.3)
@@ -109,7 +113,7 @@ def test_scores_rise_with_training():
 
 def direct_scores(v, net, text):
     """log p of each word of a text, fork by fork, and the sum of probabilities over all leaves at each word."""
-    ids = v.ids((text or "").encode().lower().split())
+    ids = v.ids(hashes((text or "").encode().lower().split())).tolist()
     line = [v.edge, v.edge, *ids, v.edge, v.edge]
     leaves = len(v.words) + v.buckets
     logs, sums = [], []
@@ -133,7 +137,7 @@ def direct_scores(v, net, text):
 def test_word_probabilities_add_up_and_equal_direct_computation():
     rng = np.random.default_rng(2)
     words = [b"a", b"b", b"c", b"dd", b"e"]
-    v = lm_score.Vocabulary(words, np.array([50.0, 30.0, 20.0, 3.0, 1.0]), 4.0, buckets=3, bucket_mass=np.array([2.0, 0.0, 5.0]))
+    v = lm_score.Vocabulary(hashes(words), np.array([50.0, 30.0, 20.0, 3.0, 1.0]), 4.0, buckets=3, bucket_mass=np.array([2.0, 0.0, 5.0]))
     net = lm_score.Network(v)
     net.parts = {k: x + rng.standard_normal(x.shape).astype(np.float32) * 0.5 for k, x in net.parts.items()}
     for text in ("a b A c unknown dd e other a", "a"):
@@ -145,14 +149,14 @@ def test_word_probabilities_add_up_and_equal_direct_computation():
 def test_scores_of_the_query_equal_direct_sums(spark, docs):
     """The network that was trained, and each word's own share of its bucket, recomputed word by word."""
     got, v, net, counted = lm_score.trained_scores(docs, vocabulary=4)
-    counts = {bytes(r.word): r.n for r in counted.collect()}
+    counts = {r.word % 2**64: r.n for r in counted.collect()}
     expected = []
     for i, t, *_ in awkward():
         if t and len(t) > 5000:
             continue
         logs, _ = direct_scores(v, net, t)
-        rare = [w for w in (t or "").encode().translate(hashing._LOWER).split() if w not in v.place]
-        own = sum(np.log(counts[w] / v.bucket_mass[lm_score.bucket_of(w, v.buckets)]) for w in rare)
+        rare = [h for h in hashes((t or "").encode().translate(hashing._LOWER).split()).tolist() if h not in v.words]
+        own = sum(np.log(counts[h] / v.bucket_mass[h % v.buckets]) for h in rare)
         expected.append((i, len(logs), round(sum(logs) + own, 2)))
     found = [(r.doc_id, r.n_words, r.log_likelihood) for r in got.collect() if r.n_words < 5000]
     for (i, n, x), (j, m, y) in zip(sorted(expected, key=repr), sorted(found, key=repr), strict=True):
@@ -174,7 +178,7 @@ def test_rare_words_have_their_own_share(spark):
     rare = [(100 + k, f"w{k % 30}") for k in range(30)] + [(200 + k, "often") for k in range(90)]
     docs = spark.createDataFrame(common + rare, "doc_id long, text string")
     v, counted = lm_score.count_words(docs, 1)
-    assert v.words[0] == b"the" and counted.count() == 32
+    assert v.words[0] == hashing._known[b"the"] and counted.count() == 32
     assert abs(v.bucket_mass.sum() + v.counts.sum() - 1120) < 1e-3
     v, _ = lm_score.count_words(docs.where("doc_id >= 100"), 1)
     assert len(v.words) <= lm_score.vocabulary_size(120, 1)
@@ -183,7 +187,7 @@ def test_rare_words_have_their_own_share(spark):
     got = {r.doc_id: r for r in lm_score.score_documents(few.withColumn("doc_id", F.substring("text", 2, 9).cast("long")), vocabulary=1).collect()}
     by_bucket = {}
     for j in range(200):
-        by_bucket.setdefault((lm_score.bucket_of(f"x{j}".encode(), 64), j % 2), []).append(got[j].log_likelihood)
+        by_bucket.setdefault((hashing._known[f"x{j}".encode()] % 64, j % 2), []).append(got[j].log_likelihood)
     both = [b for b, odd in by_bucket if odd and (b, 0) in by_bucket]
     assert both
     assert all(abs(by_bucket[b, 1][0] - by_bucket[b, 0][0] - np.log(2)) < 1e-4 for b in both)
