@@ -7,6 +7,7 @@ hashes is one row of packed columns, not a row per hash; answers come back to th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ class Block:
         self.ends = self.lengths.cumsum()
         self.starts = self.ends - self.lengths
         total = int(self.ends[-1]) if len(documents) else 0
-        self.words = np.fromiter((h for d in documents for h in map(_known.__getitem__, d)), np.uint64, total)
+        self.words = np.fromiter(map(_known.__getitem__, chain.from_iterable(documents)), np.uint64, total)
         self.doc = np.repeat(np.arange(len(documents), dtype=np.int64), self.lengths)
 
     def runs(self, size: int, multiplier: int = _M1) -> tuple[np.ndarray, np.ndarray]:
