@@ -57,17 +57,17 @@ class Tree:
             at = up[at]
         leaf, fork, side = (np.concatenate(x) for x in zip(*steps, strict=True))
         order = np.argsort(leaf, kind="stable")
-        self.fork, self.side, self.odds = fork[order].astype(np.int32), side[order].astype(np.int8), odds
+        self.fork, self.side, self.odds = fork[order], side[order].astype(np.float32), odds
         self.depth = np.bincount(leaf, minlength=n)
         self.first = self.depth.cumsum() - self.depth
 
     def paths(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(forks, sides, row of leaves each belongs to, where each row begins) on the ways to some leaves."""
+        """(forks, sides, forks of each leaf, where its forks begin) on the ways to some leaves."""
         depth = self.depth[leaves]
-        row = np.repeat(np.arange(len(leaves)), depth)
         begin = depth.cumsum() - depth
-        at = np.arange(len(row)) + (self.first[leaves] - begin)[row]
-        return self.fork[at], self.side[at].astype(np.float32), row, begin
+        at = np.repeat(self.first[leaves] - begin, depth)
+        at += np.arange(len(at))
+        return self.fork.take(at), self.side.take(at), depth, begin
 
 
 @dataclass
@@ -112,58 +112,64 @@ def hashed(texts: list[str | None]) -> Block:
     return Block([words_of(t, True) for t in texts])
 
 
-def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Rows of values added up by place."""
-    return np.stack([np.bincount(at, values[:, k], n) for k in range(values.shape[1])], 1)
+#: Words handled at once, so that what is gathered for their ways through the tree stays in a core's cache.
+_AT_ONCE = 4096
 
 
 class Network:
-    """Embeddings by place, and a row per fork of the tree, its weights and then its log odds; all arrays are float32. Without
-    training it gives each word its share of the corpus."""
+    """Embeddings by place, and for each fork of the tree its weights and, last, its log odds; float32, an array per lane
+    of the width. Without training it gives each word its share of the corpus."""
 
     def __init__(self, vocabulary: Vocabulary, width: int = 8, seed: int = 7):
         rng = np.random.default_rng(seed)
         n, odds = vocabulary.edge + 1, vocabulary.tree.odds
-        self.parts = {f"place {k}": (rng.standard_normal((n, width)) * 0.3).astype(np.float32) for k in range(len(_PLACES))}
-        self.parts["forks"] = np.concatenate([np.zeros((len(odds), width), np.float32), odds[:, None]], 1)
-        self.used = {name: np.zeros(len(x), np.float32) for name, x in self.parts.items()}
-        self.past = {name: np.full(len(x), 1e-6, np.float32) for name, x in self.parts.items()}
+        self.parts = {f"place {k}": (rng.standard_normal((width, n)) * 0.3).astype(np.float32) for k in range(len(_PLACES))}
+        self.parts["forks"] = np.concatenate([np.zeros((width, len(odds)), np.float32), odds[None, :]])
+        self.used = {name: np.zeros(x.shape[1], np.float32) for name, x in self.parts.items()}
+        self.past = {name: np.full(x.shape[1], 1e-6, np.float32) for name, x in self.parts.items()}
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        """What the context says, and a 1 that meets the forks' log odds."""
-        total = self.parts["place 0"][context[:, 0]]
-        for k in range(1, len(_PLACES)):
-            total += self.parts[f"place {k}"][context[:, k]]
-        return np.concatenate([np.tanh(total), np.ones((len(total), 1), np.float32)], 1)
+        """What the context says, by lane, and ones that meet the forks' log odds."""
+        places = [self.parts[f"place {k}"] for k in range(len(_PLACES))]
+        out = np.ones((len(places[0]) + 1, len(context)), np.float32)
+        at = np.ascontiguousarray(context.T)
+        for lane in range(len(places[0])):
+            total = sum(p[lane].take(c) for p, c in zip(places, at, strict=True))
+            out[lane] = 1 - 2 / (1 + np.exp(np.clip(2 * total, -60, 60)))  # tanh, which is slow by itself
+        return out
 
     def log_words(self, tree: Tree, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-        """log p(leaf | context) of each row."""
+        """log p(leaf | context) of each word."""
         if not len(leaves):
             return np.empty(0, np.float32)
-        fork, side, row, begin = tree.paths(leaves)
-        z = side * np.einsum("ij,ij->i", hidden[row], self.parts["forks"][fork])
-        return -np.add.reduceat(np.log1p(np.exp(-np.clip(z, -80, 80))), begin)
+        fork, side, depth, begin = tree.paths(leaves)
+        z = side * sum(np.repeat(h, depth) * w.take(fork) for h, w in zip(hidden, self.parts["forks"], strict=True))
+        return -np.add.reduceat(np.log(1 + np.exp(-np.clip(z, -80, 80))), begin)
 
     def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
-        """One step on a batch of words. A row's steps get shorter with what it has moved before."""
-        h = self.hidden(context)
-        fork, side, row, begin = tree.paths(leaves)
-        weights, seen = self.parts["forks"][fork], h[row]
-        z = side * np.einsum("ij,ij->i", seen, weights)
-        pull = (side / (1 + np.exp(np.clip(z, -80, 80))))[:, None]
-        weights *= pull
-        seen *= pull
-        back = (np.add.reduceat(weights, begin, axis=0) * (1 - h * h))[:, :-1]
-        self._step("forks", fork, seen, rate)
-        for k in range(len(_PLACES)):
-            self._step(f"place {k}", context[:, k], back, rate)
-
-    def _step(self, name: str, at: np.ndarray, pull: np.ndarray, rate: float) -> None:
-        part = self.parts[name]
-        total = _sums(at, pull, len(part)).astype(np.float32)
-        self.past[name] += np.square(total).sum(1)
-        part += total * (rate / np.sqrt(self.past[name]))[:, None]
-        self.used[name] += np.bincount(at, minlength=len(part)).astype(np.float32)
+        """One step on a batch of words. A column's steps get shorter with what it has moved before."""
+        forks = self.parts["forks"]
+        moved = {name: np.zeros(x.shape) for name, x in self.parts.items()}
+        for k in range(0, len(leaves), _AT_ONCE):
+            some = context[k : k + _AT_ONCE]
+            h = self.hidden(some)
+            fork, side, depth, begin = tree.paths(leaves[k : k + _AT_ONCE])
+            seen, weights = [np.repeat(x, depth) for x in h], [w.take(fork) for w in forks]
+            z = side * sum(x * w for x, w in zip(seen, weights, strict=True))
+            pull = side / (1 + np.exp(np.clip(z, -80, 80)))
+            for lane, x in enumerate(seen):
+                moved["forks"][lane] += np.bincount(fork, pull * x, forks.shape[1])
+            at = np.ascontiguousarray(some.T)
+            for lane in range(len(forks) - 1):
+                back = np.add.reduceat(pull * weights[lane], begin) * (1 - h[lane] * h[lane])
+                for place, c in enumerate(at):
+                    moved[f"place {place}"][lane] += np.bincount(c, back, self.parts[f"place {place}"].shape[1])
+            self.used["forks"] += np.bincount(fork, minlength=forks.shape[1])
+            for place, c in enumerate(at):
+                self.used[f"place {place}"] += np.bincount(c, minlength=len(self.used[f"place {place}"]))
+        for name, total in moved.items():
+            self.past[name] += np.square(total).sum(0).astype(np.float32)
+            self.parts[name] += (total * (rate / np.sqrt(self.past[name]))).astype(np.float32)
 
 
 def contexts(vocabulary: Vocabulary, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,16 +262,16 @@ def _average(table: pa.Table) -> pa.Table:
     values = 0
     for r, n in zip(rows, used, strict=True):
         share = np.where(total > 0, n / np.maximum(total, 1), 1 / len(rows)).astype(np.float32)
-        values = values + np.frombuffer(r["values"], np.float32).reshape(len(total), -1) * share[:, None]
+        values = values + np.frombuffer(r["values"], np.float32).reshape(-1, len(total)) * share
     return pa.Table.from_batches([_rows([(rows[0]["part"], rows[0]["some"], np.ascontiguousarray(values, np.float32).tobytes(), total.astype(np.float32).tobytes())])])
 
 
-def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None], batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(words, summed log p(word or its bucket | context)) of each text."""
-    return _summed(vocabulary, net, *contexts(vocabulary, hashed(texts)), batch)
+    return _summed(vocabulary, net, *contexts(vocabulary, hashed(texts)))
 
 
-def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, batch: int = _AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
     logs = np.empty(len(ids), np.float64)
     for at in range(0, len(ids), batch):
         some = slice(at, at + batch)

@@ -119,13 +119,13 @@ def direct_scores(v, net, text):
     logs, sums = [], []
     for k, leaf in enumerate(ids):
         around = [line[k + 2 + p] for p in lm_score._PLACES]
-        hidden = np.tanh(sum(net.parts[f"place {j}"][w].astype(float) for j, w in enumerate(around)))
+        hidden = np.tanh(sum(net.parts[f"place {j}"][:, w].astype(float) for j, w in enumerate(around)))
 
         def log_p(x, hidden=hidden):
             out = 0.0
             for at in range(v.tree.first[x], v.tree.first[x] + v.tree.depth[x]):
                 f = v.tree.fork[at]
-                z = hidden @ net.parts["forks"][f, :-1] + net.parts["forks"][f, -1]
+                z = hidden @ net.parts["forks"][:-1, f] + net.parts["forks"][-1, f]
                 out -= np.log1p(np.exp(-z * v.tree.side[at]))
             return out
 
