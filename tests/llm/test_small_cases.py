@@ -302,12 +302,12 @@ def contaminated(text, items, size=10):
     return len(words), len(hit), sorted(str(x) for x in found if x is not None)
 
 
-@pytest.mark.parametrize("block_chars", [8_000_000, 300])
-def test_decontamination(spark, docs, nothing, block_chars):
+@pytest.mark.parametrize("block_windows", [100_000, 25])
+def test_decontamination(spark, docs, nothing, block_windows):
     items = [(1, prose(1, 15)), (10, "ONE"), (2, "two, words"), (3, None), (4, "..."), (5, prose(2, 12)), (5, prose(3, 11)), (None, prose(3, 25)), (7, "ghi1 ghi1 ghi1")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     expected = [(i, *contaminated(t, items)) for i, t, *_ in awkward()]
-    got = decontaminate.benchmark_spans(docs, benchmark, block_chars=block_chars)
+    got = decontaminate.benchmark_spans(docs, benchmark, block_windows=block_windows)
     assert by_id(got, "n_words", "n_hit", "item_ids") == sorted(expected, key=repr)
     assert decontaminate.benchmark_spans(nothing, benchmark).count() == 0
     assert decontaminate.benchmark_spans(docs, benchmark.limit(0)).where("n_hit > 0").count() == 0
@@ -545,14 +545,27 @@ def test_long_runs_and_script_changes_are_whole(spark):
     assert got.lang_pred == "de" and [s.lang for s in got.spans] == ["en", "de"]
 
 
+def test_letters_and_marks():
+    assert language_id.words_of("½ ² 12 _ Ⅳ ٣ ́") == []
+    assert language_id.words_of("हिन्दी x²y a½b") == ["हिन्दी", "x", "y", "a", "b"]
+    assert language_id.words_of("x² ½ Äb") == ["x", "äb"]
+
+
+def test_runs_that_differ_after_many_letters_are_told_apart(spark):
+    rows = [("ab" * 15 + "xyz" * 60, "en"), ("ab" * 15 + "uvw" * 60, "de")] * 5
+    model = language_id.fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    docs = spark.createDataFrame([(1, "ab" * 15 + "xyz" * 57), (2, "ab" * 15 + "uvw" * 57), (3, "½ ²")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(docs, model).collect()} == {1: "en", 2: "de", 3: "und"}
+
+
 def test_a_small_language_keeps_its_words(spark):
     """Words of a language with many rows do not push those of another out, and trigrams come from all words."""
-    hot = [(" ".join(f"{a}{b}o" for a in "abcdefgh" for b in "klmnp") + " the" * k, "en") for k in range(1, 30)]
+    hot = [(" ".join(f"{a}{b}{c}o" for a in "abcdefgh" for b in "klmnp" for c in "acdefghik"), "en")] + [(" the" * k, "en") for k in range(1, 30)]
     model = language_id.fit_languages(spark.createDataFrame([*hot, ("zwu zwu xyu", "de")], "text string, lang string"), vocabulary=2)
     assert model.languages == ["de", "en"]
     assert set(model.words) == {"the", "zwu", "xyu"}
-    assert {"^xy", "xyu", "yu$", "ako"} <= set(model.grams)
-    got = language_id.identify(spark.createDataFrame([(1, "zwu xyux"), (2, "ako hpo")], "doc_id long, text string"), model).collect()
+    assert {"^xy", "xyu", "yu$", "aka"} <= set(model.grams)
+    got = language_id.identify(spark.createDataFrame([(1, "zwu xyux"), (2, "akao hpeo")], "doc_id long, text string"), model).collect()
     assert {r.doc_id: r.lang_pred for r in got} == {1: "de", 2: "en"}
 
 
