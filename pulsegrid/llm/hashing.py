@@ -7,7 +7,6 @@ hashes is one row of packed columns, not a row per hash; answers come back to th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,19 +19,11 @@ _M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
 
 
-class _Known(dict):
-    """64-bit hashes of words; remembers a bounded number, and computes the others each time."""
-
-    limit = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.limit:
-            self[word] = h
-        return h
-
-
-_known = _Known()
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+_WITHIN = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of eight
+#: Words of more bytes are hashed one by one, so that a text without blanks takes no step for each eight bytes of it.
+_LONG = 64
 
 
 def words_of(text: str | None, lower: bool) -> list[bytes]:
@@ -44,15 +35,22 @@ def words_of(text: str | None, lower: bool) -> list[bytes]:
 
 
 class Block:
-    """Word hashes of some documents, one after the other."""
-
-    def __init__(self, documents: list[list[bytes]]):
-        self.lengths = np.fromiter(map(len, documents), np.int64, len(documents))
-        self.ends = self.lengths.cumsum()
-        self.starts = self.ends - self.lengths
-        total = int(self.ends[-1]) if len(documents) else 0
-        self.words = np.fromiter(map(_known.__getitem__, chain.from_iterable(documents)), np.uint64, total)
-        self.doc = np.repeat(np.arange(len(documents), dtype=np.int64), self.lengths)
+    """Word hashes of some documents, one after the other. Null has no words."""
+
+    def __init__(self, texts: pa.Array | list[str | None], lower: bool):
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = pa.compute.fill_null(texts, "").cast(pa.large_string())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = texts.buffers()[2] if bounds[-1] > bounds[0] else None
+        raw = memoryview(data)[bounds[0] : bounds[-1]].tobytes() if data is not None else b""
+        bounds = bounds - bounds[0]
+        first, last = _word_bounds(raw, bounds)
+        self.words = _word_hashes(raw.translate(_LOWER) if lower else raw, first, last)
+        begun = np.searchsorted(first, bounds)
+        self.starts, self.ends = begun[:-1], begun[1:]
+        self.lengths = self.ends - self.starts
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int64), self.lengths)
 
     def runs(self, size: int, multiplier: int = _M1) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each run of size words within a document, its first word's place among all)."""
@@ -62,6 +60,36 @@ class Block:
         return h[inside], at[inside]
 
 
+def _word_bounds(raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, one past the last byte) of each word; no word reaches over the bounds of documents."""
+    blank = _BLANK[np.frombuffer(raw, np.uint8)]
+    edges = bounds[(bounds > 0) & (bounds < len(raw))]
+    begins = ~blank
+    ends = begins.copy()
+    begins[1:] &= blank[:-1]
+    ends[:-1] &= blank[1:]
+    begins[edges] = ~blank[edges]
+    ends[edges - 1] = ~blank[edges - 1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def _word_hashes(raw: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time; words of more than _LONG bytes by xxhash."""
+    size = last - first
+    eights = np.ndarray(len(raw) + 1, "<u8", raw + bytes(8), strides=(1,))  # eight bytes from each place on
+    h = size.astype(np.uint64) * np.uint64(_M1)
+    at = np.flatnonzero(size <= _LONG)
+    read = 0
+    while len(at):
+        piece = eights[first[at] + read] & _WITHIN[np.minimum(size[at] - read, 8)]
+        h[at] = mix((h[at] ^ piece) * np.uint64(_M2))
+        read += 8
+        at = at[size[at] > read]
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(raw[first[k] : last[k]])
+    return h
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads 64 bits evenly."""
     h = h ^ (h >> np.uint64(30))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .hashing import _M2, Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
+from .hashing import _M2, Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted
 from .tables import blocks_for, cut_lineage, dealt, default_tasks, id_and_text, steady, written
 
 _HEAD = np.dtype([("id", "<i8"), ("known", "<i8"), ("key", "<i8"), ("n", "<i8"), ("a", "<i8"), ("b", "<i8")])
@@ -38,9 +38,9 @@ _ROWS = "doc_id long, row_key long, n long, a long, b long, shared binary, prefi
 _SEVERAL = 0xFFFF
 
 
-def shingle_tokens(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_tokens(texts: pa.Array | list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, document, other 64-bit hash) of each distinct run, by token; a document of fewer words is one run as a whole."""
-    block = Block([words_of(t, True) for t in texts])
+    block = Block(texts, True)
     h, at = block.runs(size)
     other = block.runs(size, _M2)[0]
     doc = block.doc[at]
@@ -64,7 +64,7 @@ def _send(size: int, buckets: int):
         bounds = bucket_bounds(buckets)
         block = TaskContext.get().partitionId() << 32
         for part in slices(batches, 1000, 2_000_000):
-            tokens, doc, other = shingle_tokens(part["text"].to_pylist(), size)
+            tokens, doc, other = shingle_tokens(part["text"], size)
             head = np.zeros(part.num_rows, _HEAD)
             head["id"] = np.asarray(pa.compute.fill_null(part["doc_id"], 0))
             head["known"] = np.asarray(pa.compute.is_valid(part["doc_id"]))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import Block, slices, words_of
+from .hashing import Block, slices
 from .tables import frequent_from, id_and_text, written
 
 _PLACES = (-2, -1, 1, 2)
@@ -107,9 +107,9 @@ def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
     return (words % np.uint64(buckets)).astype(np.int64)
 
 
-def hashed(texts: list[str | None]) -> Block:
+def hashed(texts: pa.Array | list[str | None]) -> Block:
     """Hashes of the texts' words, A-Z lowered."""
-    return Block([words_of(t, True) for t in texts])
+    return Block(texts, True)
 
 
 #: Words handled at once, so that what is gathered for their ways through the tree stays in a core's cache.
@@ -193,7 +193,7 @@ def count_words(docs: DataFrame, least: int) -> tuple[Vocabulary, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 5000):
-            words, n = np.unique(hashed(part["text"].to_pylist()).words, return_counts=True)
+            words, n = np.unique(hashed(part["text"]).words, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
     counted = written(docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
@@ -229,7 +229,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, *, rate: float = 0.5) -> Netw
         net = Network(v)
         words = 0
         for part in slices(batches, 500, 1_000_000):
-            ids, context, _ = contexts(v, hashed(part["text"].to_pylist()))
+            ids, context, _ = contexts(v, hashed(part["text"]))
             words += len(ids)
             for at in range(0, len(ids), batch):
                 net.learn(v.tree, context[at : at + batch], ids[at : at + batch], rate)
@@ -266,7 +266,7 @@ def _average(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows([(rows[0]["part"], rows[0]["some"], np.ascontiguousarray(values, np.float32).tobytes(), total.astype(np.float32).tobytes())])])
 
 
-def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(words, summed log p(word or its bucket | context)) of each text."""
     return _summed(vocabulary, net, *contexts(vocabulary, hashed(texts)))
 
@@ -304,7 +304,7 @@ def trained_scores(docs: DataFrame, *, vocabulary: int = 8192, id_col: str = "do
         known = len(v.words)
         log_mass = np.log(v.bucket_mass)
         for part in slices(batches, 500, 1_000_000):
-            block = hashed(part["text"].to_pylist())
+            block = hashed(part["text"])
             ids, context, n = contexts(v, block)
             n, total = _summed(v, network, ids, context, n)
             rare = ids >= known

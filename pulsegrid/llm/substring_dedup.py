@@ -70,7 +70,7 @@ def _seed(length: int, seed: int, buckets: int):
         bounds = bucket_bounds(buckets)
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches, 500):
-            block = Block([words_of(t, False) for t in part["text"].to_pylist()])
+            block = Block(part["text"], False)
             _, at, hashes = anchors(block, length, seed)
             if len(at):
                 at = np.unique(at)
@@ -148,7 +148,7 @@ def _extend(length: int, seed: int, buckets: int):
         bounds = bucket_bounds(buckets)
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches, 500):
-            block = Block([words_of(t, False) for t in part["text"].to_pylist()])
+            block = Block(part["text"], False)
             marked = np.zeros(len(block.words), bool)
             for begin, seeds in zip(block.starts.tolist(), part["places"].to_pylist(), strict=True):
                 marked[begin + np.frombuffer(seeds, "<u4").astype(np.int64)] = True
