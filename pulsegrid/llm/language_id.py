@@ -13,6 +13,8 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, islice
 from uuid import uuid4
 
 import numpy as np
@@ -21,12 +23,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import slices
 from .tables import held_out, id_and_text, least_count, written
 
 UNKNOWN = "und"
 #: Runs of letters: where all characters are below U+0250 there are no marks, and the only word characters that are
 #: neither letters nor digits are superscripts and fractions; elsewhere letters with the marks that follow them.
 _LATIN_RUN = re.compile(r"[^\W\d_²³¹¼-¾]+")
+#: What stays of a text of Latin-1 alone: its letters, and a blank for each other character.
+_LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(256))
 _RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: First and last code point of ranges that tell scripts apart (Unicode blocks; fixed values).
 SCRIPTS = (
@@ -47,8 +52,10 @@ SCRIPTS = (
     ("han", 0x3400, 0x9FFF),
     ("hangul", 0xAC00, 0xD7AF),
 )
+_SCRIPT_NAMES = (*dict.fromkeys(name for name, _, _ in SCRIPTS), "other")
 
 
+@lru_cache(maxsize=65536)
 def _script(letter: str) -> str:
     c = ord(letter)
     return next((name for name, low, high in SCRIPTS if low <= c <= high), "other")
@@ -97,6 +104,12 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     text = text.lower()
+    try:
+        found = text.encode("latin-1").translate(_LETTERS).decode("latin-1").split()
+        if not found or max(map(len, found)) <= UNIT:
+            return found
+    except UnicodeEncodeError:
+        pass
     latin = not _BEYOND_LATIN.search(text)
     found = (_LATIN_RUN if latin else _RUN).findall(text)
     if not found or (latin and max(map(len, found)) <= UNIT):
@@ -110,9 +123,25 @@ def words_of(text: str | None) -> list[str]:
     return out
 
 
-def _trigrams(unit: str) -> list[str]:
-    w = unit[1:] if unit[0] in "+-" else f"^{unit}$"
-    return [w[k : k + 3] for k in range(len(w) - 2)]
+#: A trigram as a number: 21 bits for each of its code points, the first lowest.
+_BITS = 21
+
+
+def trigram_codes(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code, index of its unit) of all trigrams of some units."""
+    marked = [u[1:] if u[0] in "+-" else f"^{u}$" for u in units]
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    chars = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.int64)
+    owner = np.repeat(np.arange(len(marked)), lengths)
+    if len(chars) < 3:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    codes = chars[:-2] | chars[1:-1] << _BITS | chars[2:] << 2 * _BITS
+    inside = owner[:-2] == owner[2:]
+    return codes[inside], owner[:-2][inside]
+
+
+def trigram_of(code: int) -> str:
+    return "".join(chr(code >> k * _BITS & (1 << _BITS) - 1) for k in range(3))
 
 
 @dataclass
@@ -131,8 +160,12 @@ class LanguageModel:
         n = max(1, len(self.languages))
         size = max(1, len(self.weights))
         mass = np.sum(list(self.weights.values()), axis=0) if self.weights else np.ones(n)
-        self.grams = {g: tuple(np.log((c + 0.5) / (mass + 0.5 * size)).tolist()) for g, c in self.weights.items()}
-        self.no_gram = tuple(np.log(0.5 / (mass + 0.5 * size)).tolist())
+        codes = trigram_codes([f"+{g}" for g in self.weights])[0]
+        order = np.argsort(codes)
+        weights = np.array(list(self.weights.values()), float).reshape(-1, n)[order]
+        self.codes = codes[order]
+        #: Log shares of the trigrams, by code, and last those of one that was not seen.
+        self.grams = np.log((np.concatenate([weights, np.zeros((1, n))]) + 0.5) / (mass + 0.5 * size))
         allowed = np.sum(list(self.scripts.values()), axis=0) if self.scripts else np.ones(n)
         self.candidates = {s: (c > 0.001 * allowed).tolist() for s, c in self.scripts.items()}
 
@@ -145,15 +178,20 @@ class LanguageModel:
         some = np.isfinite(top)
         return np.where(some, np.where(may, np.maximum(logs - np.where(some, top, 0), self.floor), self.floor), 0)
 
-    def word_scores(self, word: str) -> list[float]:
+    def word_scores(self, words: list[str]) -> np.ndarray:
         """Log scores per language, by trigrams, 0 for the best and not below the floor; equal if the script rules out all."""
-        may = self.candidates.get(script_of(word))
-        if may is None or not any(may):
-            return [0.0] * max(1, len(self.languages))
-        get, none = self.grams.get, self.no_gram
-        out = [sum(x) for x in zip(*[get(g, none) for g in _trigrams(word)], strict=True)] or [0.0] * len(may)
-        top = max(x for x, ok in zip(out, may, strict=True) if ok)
-        return [max(x - top, self.floor) if ok else self.floor for x, ok in zip(out, may, strict=True)]
+        n = max(1, len(self.languages))
+        codes, owner = trigram_codes(words)
+        at = np.full(len(codes), len(self.codes))
+        if len(self.codes):
+            near = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            at = np.where(self.codes[near] == codes, near, at)
+        sums = np.stack([np.bincount(owner, self.grams[at, k], len(words)) for k in range(n)], 1)
+        none = [False] * n
+        may = np.array([self.candidates.get(script_of(w), none) for w in words], bool).reshape(-1, n)
+        top = np.where(may, sums, -np.inf).max(1, keepdims=True, initial=-np.inf)
+        some = np.isfinite(top)
+        return np.where(some, np.where(may, np.maximum(sums - np.where(some, top, 0), self.floor), self.floor), 0)
 
 
 class Scorer(dict):
@@ -163,24 +201,33 @@ class Scorer(dict):
         super().__init__()
         self.model, self.base = model, len(model.words)
         self.table = np.zeros((self.base + room, max(1, len(model.languages))), np.float32)
+        self.letters = np.zeros(self.base + room, np.int64)
         if self.base:
             self.table[: self.base] = model.vocabulary_scores()
+            self.letters[: self.base] = [letters_in(w) for w in model.words]
         self.update(zip(model.words, range(self.base), strict=True))
         self.vocabulary = dict(self)
 
     def __missing__(self, word: str) -> int:
         k = len(self)
-        self.table[k] = self.model.word_scores(word)
         self[word] = k
         return k
 
-    def scores(self, words: list[str]) -> np.ndarray:
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(scores per language, letters) of each word."""
         if len(self) + len(words) > len(self.table):
             self.clear()
             self.update(self.vocabulary)
-        if len(self) + len(words) > len(self.table):  # a text with more words than there is room
-            return np.concatenate([self.scores(words[: len(words) // 2]), self.scores(words[len(words) // 2 :])])
-        return self.table[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+        if len(self) + len(words) > len(self.table):  # more words than there is room for
+            half = len(words) // 2
+            return tuple(np.concatenate(x) for x in zip(self.scores(words[:half]), self.scores(words[half:]), strict=True))
+        before = len(self)
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self) > before:
+            new = list(islice(reversed(self), len(self) - before))[::-1]
+            self.table[before : len(self)] = self.model.word_scores(new)
+            self.letters[before : len(self)] = [letters_in(w) for w in new]
+        return self.table[rows], self.letters[rows]
 
 
 _scorers: dict[str, Scorer] = {}
@@ -194,16 +241,33 @@ def scorer_for(key: str, make) -> Scorer:
     return _scorers[key]
 
 
-def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
-    """Best language per word. Where no stretch gains more than the penalty over the best single language, that one
-    is the best path, and the step by step search is not needed."""
-    best = int(scores.sum(0).argmax())
-    if scores.shape[1] == 1:
+def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
+    """Best language of each word, of texts that follow one another; a text has a word at least. Where no stretch of a text
+    gains more than the penalty over its best single language, that one is the best path, and the search is not needed."""
+    if scores.shape[1] == 1 or not len(scores):
         return np.zeros(len(scores), np.int64)
-    others = np.delete(scores, best, 1).max(1) - scores[:, best]
-    sums = others.cumsum(dtype=np.float64)
-    if (sums - np.minimum.accumulate(np.concatenate([[0.0], sums[:-1]]))).max() <= penalty:
-        return np.full(len(scores), best)
+    starts = lengths.cumsum() - lengths
+    sums = np.add.reduceat(scores, starts, dtype=np.float64)
+    best = np.repeat(sums.argmax(1), lengths)
+    at = np.arange(len(scores))
+    others = scores.copy()
+    others[at, best] = -np.inf
+    gains = (others.max(1) - scores[at, best]).astype(np.float64)
+    # Sums before and after each word; each text lies below all before it, so the least sum so far is its own.
+    spans = 1 + 2 * np.add.reduceat(np.abs(gains), starts)
+    lower = np.repeat(spans.cumsum() - spans, lengths)
+    after = gains.cumsum()
+    before = np.minimum.accumulate(after - gains - lower)
+    rise = np.maximum.reduceat(after - lower - before, starts)
+    error = 1e-9 * spans.sum()
+    for text in np.flatnonzero(rise > penalty - error).tolist():
+        some = slice(starts[text], starts[text] + lengths[text])
+        best[some] = viterbi(scores[some], penalty)
+    return best
+
+
+def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
+    """Best language per word of one text; of equal ones the first."""
     n, state = scores.shape[1], scores[0].astype(float).tolist()
     back = []
     for row in scores[1:].tolist():
@@ -222,63 +286,59 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, lang, n) over a task's texts, handed on whenever there are many; word '' counts all words."""
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
 
     def flush() -> pa.RecordBatch:
-        keys = list(counts)
-        out = pa.RecordBatch.from_arrays([pa.array([k[1] for k in keys], pa.string()), pa.array([k[0] for k in keys], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "lang", "n"])
+        words = [w for some in counts.values() for w in some]
+        langs = [x for x, some in counts.items() for _ in range(len(some))]
+        n = [n for some in counts.values() for n in some.values()]
         counts.clear()
-        return out
-
-    for whole in batches:
-        for at in range(0, whole.num_rows, 200):
-            part = whole.slice(at, 200)
-            by_language: dict[str, Counter] = defaultdict(Counter)
-            for text, lang in zip(part["text"].to_pylist(), part["lang"].to_pylist(), strict=True):
-                found = words_of(text)
-                by_language[lang].update(found)
-                by_language[lang][""] += len(found)
-            for lang, some in by_language.items():
-                for w, n in some.items():
-                    counts[lang, w] += n
-            if len(counts) > 300_000:
-                yield flush()
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(langs, pa.string()), pa.array(n, pa.int64())], ["word", "lang", "n"])
+
+    for part in slices(batches, 200):
+        for text, lang in zip(part["text"].to_pylist(), part["lang"].to_pylist(), strict=True):
+            found = words_of(text)
+            counts[lang].update(found)
+            counts[lang][""] += len(found)
+        if sum(map(len, counts.values())) > 300_000:
+            yield flush()
     if counts:
         yield flush()
 
 
-def _learned(languages: list[str]):
-    """From (word, by) to (key, scores per language): trigram weights, and script counts under the key script:name."""
-    place = {x: k for k, x in enumerate(languages)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[float]] = {}
-
-        def add(key: str, values: list[tuple[int, float]]) -> None:
-            row = found.get(key)
-            if row is None:
-                row = found[key] = [0.0] * len(languages)
-            for k, x in values:
-                row[k] += x
+def _learned(languages: int):
+    """From words and their counts, a column per language, to (code, scores per language): trigram weights, and script counts under
+    the codes below 0, -1 for the first of _SCRIPT_NAMES."""
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.list_(pa.float64()))], ["key", "v"])
-            found.clear()
-            return out
+    def merged(codes: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, which = np.unique(np.concatenate(codes), return_inverse=True)
+        values = np.concatenate(sums)
+        return keys, np.stack([np.bincount(which, values[:, k], len(keys)) for k in range(languages)], 1)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, sums = [], []
         for part in batches:
-            for word, by in zip(part["word"].to_pylist(), part["by"].to_pylist(), strict=True):
-                seen = [(place[x], n) for x, n in by]
-                total = sum(n for _, n in seen)
-                add("script:" + script_of(word), seen)
-                damped = math.log1p(total) / total
-                weights = [(k, n * damped) for k, n in seen]
-                for g in _trigrams(word):
-                    add(g, weights)
-            if len(found) > 200_000:
-                yield flush()
-        if found:
-            yield flush()
+            if not part.num_rows:
+                continue
+            words = part["word"].to_pylist()
+            n = np.stack([np.asarray(part[f"n{k}"]) for k in range(languages)], 1).astype(float)
+            total = n.sum(1, keepdims=True)
+            found, owner = trigram_codes(words)
+            scripts = np.array([-1 - _SCRIPT_NAMES.index(script_of(w)) for w in words])
+            some = merged([found, scripts], [(n * np.log1p(total) / total)[owner], n])
+            codes.append(some[0])
+            sums.append(some[1])
+            if sum(map(len, codes)) > 500_000:
+                codes, sums = ([x] for x in merged(codes, sums))
+                if len(codes[0]) > 250_000:
+                    yield rows(codes[0], sums[0])
+                    codes, sums = [], []
+        if codes:
+            yield rows(*merged(codes, sums))
+
+    def rows(codes: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        values = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * languages, pa.int32()), pa.array(sums.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(codes), values], ["code", "v"])
 
     return run
 
@@ -308,10 +368,10 @@ def fit_languages(docs: DataFrame, *, vocabulary: int = 60_000, text_col: str =
     limits = F.create_map(*[F.lit(v) for pair in least.items() for v in pair])
     top = words.where(F.exists(F.map_entries("by"), lambda e: e["value"] >= limits[e["key"]])).select("word", *[F.coalesce(F.col("by")[x], F.lit(0)) for x in languages]).collect()
     key_sums = [F.sum(F.col("v")[k]) for k in range(n)]
-    learned = words.mapInArrow(_learned(languages), "key string, v array<double>").groupBy("key").agg(*key_sums).collect()
-    values = {r[0]: np.array(r[1:], float) for r in learned}
-    grams = {k: v for k, v in values.items() if not k.startswith("script:")}
-    scripts = {k[7:]: v for k, v in values.items() if k.startswith("script:")}
+    by_language = words.select("word", *[F.coalesce(F.col("by")[x], F.lit(0)).alias(f"n{k}") for k, x in enumerate(languages)])
+    learned = by_language.mapInArrow(_learned(n), "code long, v array<double>").groupBy("code").agg(*key_sums).collect()
+    grams = {trigram_of(r[0]): np.array(r[1:], float) for r in learned if r[0] >= 0}
+    scripts = {_SCRIPT_NAMES[-1 - r[0]]: np.array(r[1:], float) for r in learned if r[0] < 0}
     return LanguageModel(languages, np.array([totals[x] for x in languages], float), [r[0] for r in top], np.array([r[1:] for r in top], float).reshape(-1, n), grams, scripts)
 
 
@@ -331,28 +391,35 @@ def identify(docs: DataFrame, model: LanguageModel, *, penalty: float = 12.0, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_for(key, lambda: LanguageModel(*shared.value))
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                part = whole.slice(at, 500)
-                preds, sures, spans = [], [], []
-                for text in part["text"].to_pylist():
-                    found = words_of(text)
-                    if not found or not languages:
-                        preds.append(UNKNOWN)
-                        sures.append(0.0)
-                        spans.append([])
-                        continue
-                    scores = scorer.scores(found)
-                    path = viterbi(scores, penalty)
-                    letters = np.bincount(path, np.fromiter(map(letters_in, found), float, len(found)), len(languages))
-                    pred = int(letters.argmax())
-                    total = scores.sum(0, dtype=np.float64)
-                    preds.append(languages[pred])
-                    sures.append(float(letters[pred] / letters.sum() / np.exp(np.minimum(total - total[pred], 500)).sum()))
-                    cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
-                    spans.append([{"lang": languages[path[a]], "first": a, "end": b} for a, b in zip(cuts, cuts[1:], strict=False)])
-                kind = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("end", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(preds, pa.string()), pa.array(sures, pa.float64()), pa.array(spans, kind)], ["doc_id", "lang_pred", "score", "spans"])
+        for part in slices(batches, 500, 1_000_000):
+            texts = [words_of(text) if languages else [] for text in part["text"].to_pylist()]
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            preds, sures, spans = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+            some = np.flatnonzero(lengths)
+            if len(some):
+                words, lengths = list(chain.from_iterable(texts)), lengths[some]
+                scores, letters = scorer.scores(words)
+                path = best_paths(scores, lengths, penalty)
+                starts = lengths.cumsum() - lengths
+                own = np.repeat(np.arange(len(some)), lengths)
+                n = len(languages)
+                shares = np.bincount(own * n + path, letters, len(some) * n).reshape(-1, n)
+                pred = shares.argmax(1)
+                text = np.arange(len(some))
+                total = np.add.reduceat(scores, starts, dtype=np.float64)
+                odds = np.exp(np.minimum(total - total[text, pred][:, None], 500)).sum(1)
+                sures[some] = shares[text, pred] / shares.sum(1) / odds
+                new = np.ones(len(path), bool)
+                new[1:] = (path[1:] != path[:-1]) | (own[1:] != own[:-1])
+                first = np.flatnonzero(new)
+                end = np.append(first[1:], len(path))
+                for k, lang in zip(some.tolist(), pred.tolist(), strict=True):
+                    preds[k] = languages[lang]
+                begins = starts[own[first]]
+                for k, lang, a, b in zip(some[own[first]].tolist(), path[first].tolist(), (first - begins).tolist(), (end - begins).tolist(), strict=True):
+                    spans[k].append({"lang": languages[lang], "first": a, "end": b})
+            kind = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(preds, pa.string()), pa.array(sures, pa.float64()), pa.array(spans, kind)], ["doc_id", "lang_pred", "score", "spans"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first:long,end:long>>")
 

@@ -89,7 +89,7 @@ def test_token_counts(docs, nothing):
 
 
 def hashes(words):
-    return np.array([hashing._known[w] for w in words], np.uint64)
+    return hashing.Block([w.decode() for w in words], False).words
 
 
 def test_scores_rise_with_training():
@@ -178,7 +178,7 @@ def test_rare_words_have_their_own_share(spark):
     rare = [(100 + k, f"w{k % 30}") for k in range(30)] + [(200 + k, "often") for k in range(90)]
     docs = spark.createDataFrame(common + rare, "doc_id long, text string")
     v, counted = lm_score.count_words(docs, 1)
-    assert v.words[0] == hashing._known[b"the"] and counted.count() == 32
+    assert v.words[0] == hashes([b"the"])[0] and counted.count() == 32
     assert abs(v.bucket_mass.sum() + v.counts.sum() - 1120) < 1e-3
     v, _ = lm_score.count_words(docs.where("doc_id >= 100"), 1)
     assert len(v.words) <= lm_score.vocabulary_size(120, 1)
@@ -187,7 +187,7 @@ def test_rare_words_have_their_own_share(spark):
     got = {r.doc_id: r for r in lm_score.score_documents(few.withColumn("doc_id", F.substring("text", 2, 9).cast("long")), vocabulary=1).collect()}
     by_bucket = {}
     for j in range(200):
-        by_bucket.setdefault((hashing._known[f"x{j}".encode()] % 64, j % 2), []).append(got[j].log_likelihood)
+        by_bucket.setdefault((int(hashes([f"x{j}".encode()])[0]) % 64, j % 2), []).append(got[j].log_likelihood)
     both = [b for b, odd in by_bucket if odd and (b, 0) in by_bucket]
     assert both
     assert all(abs(by_bucket[b, 1][0] - by_bucket[b, 0][0] - np.log(2)) < 1e-4 for b in both)
@@ -490,6 +490,19 @@ def test_rolling_hashes():
     assert len(hashing.rolling(h, 12, 7)) == 0
 
 
+def test_words_of_a_block_have_hashes_of_their_own():
+    rng = np.random.default_rng(6)
+    some = ["", None, " \t ", "a\x00 a", "x" * 64 + " " + "x" * 65 + "\n" + "x" * 63, "é b\x85c\x0bD"]
+    some += ["".join(rng.choice(list("abB \n\x0b\x00é"), rng.integers(0, 40))) for _ in range(200)]
+    for lower in (False, True):
+        words = [hashing.words_of(t, lower) for t in some]
+        block = hashing.Block(pa.array(["z", *some]).slice(1), lower)
+        assert block.lengths.tolist() == list(map(len, words)) and block.starts[1:].tolist() == block.ends[:-1].tolist()
+        pairs = set(zip((w for x in words for w in x), block.words.tolist(), strict=True))
+        assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert len(hashing.Block([], True).words) == 0 and hashing.Block([None], True).lengths.tolist() == [0]
+
+
 # Languages
 
 
@@ -504,6 +517,32 @@ def test_viterbi_equals_every_path():
         assert abs(value(path.tolist()) - max(value(p) for p in product(range(3), repeat=7))) < 1e-4
 
 
+def test_best_paths_equal_a_search_text_by_text():
+    rng = np.random.default_rng(5)
+    for languages in (1, 2, 4):
+        lengths = rng.integers(1, 30, 80)
+        s = -rng.random((int(lengths.sum()), languages)).astype(np.float32) * rng.choice([0.5, 4], (len(lengths), 1)).repeat(lengths, 0)
+        ends = lengths.cumsum()
+        direct = [language_id.viterbi(s[a:b], 3.0) for a, b in zip(ends - lengths, ends, strict=True)]
+        assert language_id.best_paths(s, lengths, 3.0).tolist() == np.concatenate(direct).tolist()
+
+
+def test_new_words_score_by_their_trigrams():
+    weights = {"^ab": np.array([3.0, 1.0]), "ab$": np.array([0.0, 5.0]), "^b$": np.array([2.0, 2.0]), "bab": np.array([1.0, 0.0])}
+    model = language_id.LanguageModel(["x", "y"], np.ones(2), [], np.zeros((0, 2)), weights, {"latin": np.array([9.0, 9.0]), "greek": np.array([0.0, 9.0])})
+    words = ["ab", "b", "babab", "γab", "яb", "-^ab", "ab"]
+    mass = sum(weights.values())
+    for word, got in zip(words, model.word_scores(words).tolist(), strict=True):
+        run = word[1:] if word[0] == "-" else f"^{word}$"
+        sums = sum((np.log((weights.get(run[k : k + 3], 0) + np.full(2, 0.5)) / (mass + 2.0)) for k in range(len(run) - 2)), np.zeros(2))
+        own = {"γ": sums[1:], "я": np.zeros(0)}.get(word[0], sums)
+        expected = [0, 0] if not len(own) else [model.floor if word[0] == "γ" and not k else max(x - own.max(), model.floor) for k, x in enumerate(sums)]
+        assert np.allclose(got, expected)
+    scorer = language_id.Scorer(model, room=3)
+    found, letters = scorer.scores(words)
+    assert np.allclose(found, model.word_scores(words), atol=1e-5) and letters.tolist() == list(map(language_id.letters_in, words))
+
+
 def test_mixed_text_has_spans(spark, nothing, docs):
     english, german = "the house of the king and the old river", "das haus von dem könig und der alte fluss"
     rows = [(k, (english if k % 2 else german), "en" if k % 2 else "de") for k in range(40)]
@@ -525,7 +564,7 @@ def test_trigrams_keep_the_ratio_between_languages(spark):
     """A word of one language that leaks into another tells new words apart however often it occurs."""
     rows = [("haus " * 3000 + "zzz " * 100, "de"), ("haus " * 60 + "yyy " * 3040, "en")]
     model = language_id.fit_languages(spark.createDataFrame(rows, "text string, lang string"))
-    de, en = model.word_scores("hausa")
+    de, en = model.word_scores(["hausa"])[0]
     assert de == 0 and en < -2
 
 
@@ -536,7 +575,7 @@ def test_long_runs_and_script_changes_are_whole(spark):
         assert sum(map(language_id.letters_in, units)) == len(run)
         assert max(map(language_id.letters_in, units)) <= language_id.UNIT
         marked = f"^{run}$"
-        assert [g for u in units for g in language_id._trigrams(u)] == [marked[k : k + 3] for k in range(len(run))]
+        assert list(map(language_id.trigram_of, language_id.trigram_codes(units)[0].tolist())) == [marked[k : k + 3] for k in range(len(run))]
     assert [language_id.script_of(u) for u in language_id.words_of("abcабв日か")] == ["latin", "cyrillic", "han", "kana"]
     english, german = "the house of the king and the old river", "das haus von dem könig und der alte fluss"
     model = language_id.fit_languages(spark.createDataFrame([(english, "en"), (german, "de")] * 20, "text string, lang string"))
@@ -564,7 +603,7 @@ def test_a_small_language_keeps_its_words(spark):
     model = language_id.fit_languages(spark.createDataFrame([*hot, ("zwu zwu xyu", "de")], "text string, lang string"), vocabulary=2)
     assert model.languages == ["de", "en"]
     assert set(model.words) == {"the", "zwu", "xyu"}
-    assert {"^xy", "xyu", "yu$", "aka"} <= set(model.grams)
+    assert {"^xy", "xyu", "yu$", "aka"} <= set(model.weights)
     got = language_id.identify(spark.createDataFrame([(1, "zwu xyux"), (2, "akao hpeo")], "doc_id long, text string"), model).collect()
     assert {r.doc_id: r.lang_pred for r in got} == {1: "de", 2: "en"}
 
