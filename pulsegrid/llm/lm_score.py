@@ -116,6 +116,10 @@ def hashed(texts: pa.Array | list[str | None]) -> Block:
 _AT_ONCE = 4096
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 class Network:
     """Embeddings by place, and for each fork of the tree its weights and, last, its log odds; float32, an array per lane
     of the width. Without training it gives each word its share of the corpus."""
@@ -146,27 +150,35 @@ class Network:
         z = side * sum(np.repeat(h, depth) * w.take(fork) for h, w in zip(hidden, self.parts["forks"], strict=True))
         return -np.add.reduceat(np.log(1 + np.exp(-np.clip(z, -80, 80))), begin)
 
-    def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
-        """One step on a batch of words. A column's steps get shorter with what it has moved before."""
+    def _pull(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, moved: dict[str, np.ndarray]) -> None:
+        """Adds to moved where some words pull each array, small pieces of them at a time."""
         forks = self.parts["forks"]
-        moved = {name: np.zeros(x.shape) for name, x in self.parts.items()}
+        met, pulls, backs = [], [[] for _ in forks], [[] for _ in forks[1:]]
         for k in range(0, len(leaves), _AT_ONCE):
-            some = context[k : k + _AT_ONCE]
-            h = self.hidden(some)
+            h = self.hidden(context[k : k + _AT_ONCE])
             fork, side, depth, begin = tree.paths(leaves[k : k + _AT_ONCE])
             seen, weights = [np.repeat(x, depth) for x in h], [w.take(fork) for w in forks]
             z = side * sum(x * w for x, w in zip(seen, weights, strict=True))
             pull = side / (1 + np.exp(np.clip(z, -80, 80)))
+            met.append(fork)
             for lane, x in enumerate(seen):
-                moved["forks"][lane] += np.bincount(fork, pull * x, forks.shape[1])
-            at = np.ascontiguousarray(some.T)
-            for lane in range(len(forks) - 1):
-                back = np.add.reduceat(pull * weights[lane], begin) * (1 - h[lane] * h[lane])
-                for place, c in enumerate(at):
-                    moved[f"place {place}"][lane] += np.bincount(c, back, self.parts[f"place {place}"].shape[1])
-            self.used["forks"] += np.bincount(fork, minlength=forks.shape[1])
-            for place, c in enumerate(at):
-                self.used[f"place {place}"] += np.bincount(c, minlength=len(self.used[f"place {place}"]))
+                pulls[lane].append(pull * x)
+            for lane, back in enumerate(backs):
+                back.append(np.add.reduceat(pull * weights[lane], begin) * (1 - h[lane] * h[lane]))
+        columns = {"forks": (met, pulls)} | {f"place {place}": ([c], backs) for place, c in enumerate(np.ascontiguousarray(context.T))}
+        for name, (at, lanes) in columns.items():
+            at, size = _joined(at), len(self.used[name])
+            self.used[name] += np.bincount(at, minlength=size)
+            for lane, parts in enumerate(lanes):
+                moved[name][lane] += np.bincount(at, _joined(parts), size)
+
+    def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
+        """One step on a batch of words. A column's steps get shorter with what it has moved before."""
+        moved = {name: np.zeros(x.shape) for name, x in self.parts.items()}
+        # Whole arrays are added up once for a quarter as many words as they have columns, so the cost of a word stays as the vocabulary grows.
+        some = _AT_ONCE * max(1, len(moved["forks"][0]) // (4 * _AT_ONCE))
+        for k in range(0, len(leaves), some):
+            self._pull(tree, context[k : k + some], leaves[k : k + some], moved)
         for name, total in moved.items():
             self.past[name] += np.square(total).sum(0).astype(np.float32)
             self.parts[name] += (total * (rate / np.sqrt(self.past[name]))).astype(np.float32)
