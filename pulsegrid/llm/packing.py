@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import slices
 from .tables import id_and_text
+from .workers import held
 
 #: A run of blanks and newlines with the run of other characters after it: no pre-token crosses its ends.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -29,48 +32,49 @@ _SPACES = [9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range
 _ODD = re.compile(f"[{''.join(map(chr, _SPACES))}]|<[|]endoftext[|]>")
 
 
+_ODD_ASCII = re.compile("[\t\x0b-\r\x1c-\x1f]")
+
+
+def odd(text: str) -> bool:
+    """Whether a text has unusual white space or the special token's string."""
+    return bool(_ODD_ASCII.search(text)) or "<|endoftext|>" in text if text.isascii() else bool(_ODD.search(text))
+
+
 class Encoder:
     """Ids of whole texts for a byte-level BPE vocabulary, as its tokenizer file gives them.
 
-    Chunks between white space are encoded once and remembered, up to a bounded number. Texts with
-    unusual white space or the special token's string go through the tokenizer file itself.
+    Nothing is remembered from text to text. Texts with unusual white space or the special token's string go through
+    the tokenizer file itself, which is read when the first of them comes.
     """
 
-    def __init__(self, vocabulary: str, ranks: str, pattern: str, remember: int = 400_000):
+    def __init__(self, vocabulary: str, ranks: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
-        self.remember = remember
-
-    def _new(self, chunk: str) -> bytes:
-        if len(self.known) >= self.remember:
-            self.known.clear()
-        ids = np.array(self.bpe.encode_ordinary(chunk), "<u4").tobytes()
-        if len(chunk) <= 64:
-            self.known[chunk] = ids
-        return ids
+        self.vocabulary = vocabulary
+
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids; none for null."""
         if not text:
             return b""
-        if _ODD.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known, new = self.known.get, self._new
-        return b"".join([known(c) or new(c) for c in _CHUNK.findall(text)])
+        ids = self.whole.encode(text, add_special_tokens=False).ids if odd(text) else self.bpe.encode_ordinary(text)
+        return np.asarray(array("I", ids)).astype("<u4", copy=False).tobytes()
 
 
-@lru_cache(maxsize=2)
 def public_encoder(vocabulary: str = "byte_bpe_50k.json", ranks: str = "byte_bpe_50k.tiktoken") -> Encoder:
-    """One encoder for each worker process."""
+    """One encoder for each worker process, as long as it packs."""
     import public_tokenizers
 
-    return Encoder(public_tokenizers.path(vocabulary), public_tokenizers.path(ranks), public_tokenizers.PATTERN)
+    path = public_tokenizers.path
+    return held("packing", (vocabulary, ranks), lambda: Encoder(path(vocabulary), path(ranks), public_tokenizers.PATTERN))
 
 
 class RoomTree:
@@ -159,20 +163,20 @@ def pack(docs: DataFrame, *, window: int = 2048, end_id: int = 1, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = encoder(), np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 32
-        held: list[Piece] = []
+        waiting: list[Piece] = []
         tokens = 0
 
         def emit(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, tokens, sequence
+            nonlocal waiting, tokens, sequence
             rows: list[tuple] = []
-            filled, held, tokens, size = best_fit_decreasing(held, window), [], 0, 0
+            filled, waiting, tokens, size = best_fit_decreasing(waiting, window), [], 0, 0
             fills = [sum(map(len, pieces)) for pieces in filled]
             enough = window - window // 64
             if sum(f for f in fills if f < enough) > buffer_tokens // 2:  # these would not fit better next time
                 last = True
             for pieces, fill in zip(filled, fills, strict=True):
                 if not last and fill < enough:
-                    held += pieces
+                    waiting += pieces
                     tokens += fill
                     continue
                 at = 0
@@ -187,15 +191,13 @@ def pack(docs: DataFrame, *, window: int = 2048, end_id: int = 1, id_col: str =
             if rows:
                 yield _batch(rows)
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                part = whole.slice(at, 200)
-                for doc, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    for p in cut(doc, coder.encode(text) + end, window):
-                        held.append(p)
-                        tokens += len(p)
-                        if tokens >= buffer_tokens:
-                            yield from emit(False)
+        for part in slices(batches, 500, 1_000_000):
+            for doc, ids in zip(part["doc_id"].to_pylist(), map(coder.encode, part["text"].to_pylist()), strict=True):
+                for p in cut(doc, ids + end, window):
+                    waiting.append(p)
+                    tokens += len(p)
+                    if tokens >= buffer_tokens:
+                        yield from emit(False)
         yield from emit(True)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, _SCHEMA)
