@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import blocks_for, cut_lineage, id_and_text, with_carried
+from .workers import held
 
 #: Bytes as the contract's word class sees them: A-Z lowered, other ASCII but a-z and 0-9 separate, the rest kept.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -97,17 +98,6 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
     return cut_lineage(items.mapInArrow(run, "words binary, item string").distinct())
 
 
-_searches: dict[str, list[WuManber]] = {}
-
-
-def searches_for(key: str, found) -> list[WuManber]:
-    """The searches of one pass, made once for each worker process."""
-    if key not in _searches:
-        _searches.clear()
-        _searches[key] = matchers(found())
-    return _searches[key]
-
-
 def scan(words: Words, searches: list[WuManber]) -> tuple[list[list[int]], set[str]]:
     """Merged word spans [start, end) that occurrences cover, and the items found."""
     found = sorted((start, start + s.m, items) for s in searches for start, items in s.search(words))
@@ -159,7 +149,7 @@ def _pass(patterns, keep_text: bool):
     key = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = searches_for(key, lambda: patterns.value)
+        searches = held("benchmark passages", key, lambda: matchers(patterns.value))
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)

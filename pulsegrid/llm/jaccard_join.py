@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .components import Forest, components
 from .hashing import _M2, Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted
 from .tables import blocks_for, cut_lineage, dealt, default_tasks, id_and_text, steady, written
+from .workers import begin
 
 _HEAD = np.dtype([("id", "<i8"), ("known", "<i8"), ("key", "<i8"), ("n", "<i8"), ("a", "<i8"), ("b", "<i8")])
 _SENT = "bucket int, block long, tokens binary, docs binary, local binary, head binary"
@@ -61,6 +62,7 @@ def shingle_tokens(texts: pa.Array | list[str | None], size: int) -> tuple[np.nd
 
 def _send(size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("near duplicates")
         bounds = bucket_bounds(buckets)
         block = TaskContext.get().partitionId() << 32
         for part in slices(batches, 1000, 2_000_000):
@@ -100,6 +102,7 @@ _SHARED_KINDS = [pa.int64(), *[pa.binary()] * 6]
 
 def _share(table: pa.Table) -> pa.Table:
     """Keeps the tokens of a range that occur in several documents, with their counts."""
+    begin("near duplicates")
     sent = table.to_pylist()
     rows = [(x["block"], None, None, None, x["head"], x["tokens"], x["docs"]) for x in sent if x["head"] is not None]
     sent = [(x["block"], unpack_sorted(x["tokens"]), unpack(x["docs"], "<u2"), unpack(x["local"], "<u2")) for x in sent if x["head"] is None]
@@ -329,6 +332,7 @@ def link_sets(sizes: np.ndarray, sets: list[np.ndarray], percent: int, sides: np
 
 def _link(percent: int):
     def run(table: pa.Table) -> pa.Table:
+        begin("near duplicates")
         a: list[int] = []
         b: list[int] = []
         group, node, n, side = (np.asarray(table[c]) for c in ("group", "node", "n", "side"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import held_out, id_and_text, with_carried
+from .workers import begin
 
 #: Labelled rows fitted on: at most so many, those with the least hashes of their ids.
 FIT_ROWS = 20_000
@@ -57,6 +58,7 @@ def measured(rows: DataFrame, names: tuple[str, ...], *, keep_text: bool = False
     """doc_id, a column per statistic, the text if asked, and the struct of columns to carry if rows have one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 part = whole.slice(at, 1000)

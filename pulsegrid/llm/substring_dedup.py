@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .hashing import Block, bucket_bounds, mix, pack, pack_sorted, rolling, slices, unpack, unpack_sorted, words_of
 from .tables import blocks_for, dealt, default_tasks, id_and_text, steady, with_carried
+from .workers import begin
 
 _LAST = np.iinfo(np.int64).max
 _SENT = "bucket int, block long, tokens binary, checks binary, docs binary, places binary, ids binary, keys binary"
@@ -67,6 +68,7 @@ def _seed(length: int, seed: int, buckets: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("repeated passages")
         bounds = bucket_bounds(buckets)
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches, 500):

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import gc
 import tracemalloc
+import weakref
 
 import numpy as np
+import pyarrow as pa
 
-from pulsegrid.llm import packing, workers
+from pulsegrid.llm import jaccard_join, packing, workers
 
 ODD = [None, "", " ", "\n", " \n\t ", "a\n\n b  ", "Ünï ﬁ code　x  Y", "<|endoftext|> a \n\nb", "x" * 3000, " \n'll don't  \n\n é中文\x00 \x00", "é" * 70 + " ab\n"]
 
 
+def test_another_operator_lets_go_of_the_encoder():
+    encoder = weakref.ref(packing.public_encoder())
+    assert packing.public_encoder() is encoder()
+    jaccard_join._share(pa.table({"block": pa.array([], pa.int64()), "head": pa.array([], pa.binary())}))
+    gc.collect()
+    assert encoder() is None
+
+
 def test_one_thing_is_held_by_key():
     first = workers.held("x", 1, lambda: [1])
     assert workers.held("x", 1, list) is first
