@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
+import random
 import tracemalloc
 import weakref
 
 import numpy as np
 import pyarrow as pa
 
-from pulsegrid.llm import jaccard_join, packing, workers
+from pulsegrid.llm import jaccard_join, packing, token_counts, workers
 
 ODD = [None, "", " ", "\n", " \n\t ", "a\n\n b  ", "Ünï ﬁ code　x  Y", "<|endoftext|> a \n\nb", "x" * 3000, " \n'll don't  \n\n é中文\x00 \x00", "é" * 70 + " ab\n"]
 
@@ -48,3 +49,28 @@ def test_ids_are_the_tokenizer_files():
         want = encoder.whole.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
     assert [packing.odd(t) for t in ODD if t] == [bool(packing._ODD.search(t)) for t in ODD if t]
+
+
+def test_tokens_of_many_pre_tokens_are_those_of_each():
+    rng = random.Random(5)
+    pieces = {bytes([b]): -5.0 for b in range(256)} | {bytes(rng.choices(b"ab\x00", k=n)): rng.choice([-1.0, -2.0, -4.0, -6.0]) for n in (2, 3, 4, 7, 90) for _ in range(12)}
+    trie = token_counts.PieceTrie(pieces)
+    words = [bytes(rng.choices(b"ab\x00c", k=rng.choice([0, 1, 2, 5, 30, 64, 65, 200]))) for _ in range(600)]
+    assert trie.tokens_of(words).tolist() == [trie.tokens(w) for w in words]
+    assert trie.tokens_of([]).tolist() == []
+
+
+def test_counts_of_many_texts_score_their_new_pre_tokens_together(monkeypatch):
+    counter = token_counts.public_counts()
+    texts = [*ODD, *[f"{k:x} {k * k:x}zq, a-{k} It's\n\n x" for k in range(500)], *ODD]
+    want = [(len(p), sum(counter.trie.tokens(x.encode()) for x in p)) for p in (counter.split(t or "") for t in texts)]
+    for remember in (200_000, 50):
+        counter.known, counter.older, counter.remember = {}, {}, remember
+        scored = []
+        monkeypatch.setattr(counter.trie, "tokens", lambda p: scored.append(p) or token_counts.PieceTrie.tokens(counter.trie, p))
+        pre, tokens = counter.count_all(texts)
+        monkeypatch.undo()
+        assert list(zip(pre.tolist(), tokens.tolist(), strict=True)) == want
+        assert all(len(p) > 64 for p in scored)  # all others by the levels of one trie
+        assert len(counter.known) <= remember or not counter.older
+    workers.begin("")
