@@ -60,14 +60,37 @@ class Tree:
         self.fork, self.side, self.odds = fork[order], side[order].astype(np.float32), odds
         self.depth = np.bincount(leaf, minlength=n)
         self.first = self.depth.cumsum() - self.depth
-
-    def paths(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(forks, sides, forks of each leaf, where its forks begin) on the ways to some leaves."""
+        # Deepest leaves first, and among those of a depth, neighbours in the tree side by side.
+        size, place = np.ones(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.int64)
+        for x in range(2 * n - 2):
+            size[up[x]] += size[x]
+        left = np.zeros(n - 1, np.int64)
+        of_left = np.flatnonzero(right[:-1] == 0)
+        left[up[of_left] - n] = size[of_left]
+        for x in range(2 * n - 3, -1, -1):
+            place[x] = place[up[x]] + right[x] * left[up[x] - n]
+        self.rank = np.empty(n, np.int64)
+        self.rank[np.lexsort((place[:n], -self.depth))] = np.arange(n)
+
+    def levels(self, leaves: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The ways from the root to some leaves in the order of rank, level by level, without the last leaves, whose ways have
+        ended: (forks and sides of different leaves, where each of these begins, which of them each leaf is)."""
+        begin = _changes(leaves)
+        ends = np.append(begin[1:], len(leaves))
+        which = np.zeros(len(leaves), np.int64)
+        which[begin[1:]] = 1
+        which = which.cumsum()
+        leaves = leaves[begin]
         depth = self.depth[leaves]
-        begin = depth.cumsum() - depth
-        at = np.repeat(self.first[leaves] - begin, depth)
-        at += np.arange(len(at))
-        return self.fork.take(at), self.side.take(at), depth, begin
+        last = self.first[leaves] + depth - 1
+        for level, n in enumerate(np.searchsorted(-depth, -np.arange(depth.max(initial=0))).tolist()):
+            at = last[:n] - level
+            yield self.fork.take(at), self.side.take(at), begin[:n], which[: ends[n - 1]]
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]]))
 
 
 @dataclass
@@ -88,6 +111,10 @@ class Vocabulary:
         self.edge = n + self.buckets  # stands beyond the ends of a text
         self.order = np.argsort(self.words)
         self.sorted = self.words[self.order]
+        # Hashes are even, so their first bits nearly tell their place among the sorted words.
+        bits = (4 * n).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.sorted, np.arange(1 << bits, dtype=np.uint64) << self.shift) if n else np.zeros(1, np.int64)
         if self.bucket_mass is None:
             self.bucket_mass = np.full(self.buckets, max(1.0, self.other) / self.buckets)
         self.bucket_mass = np.maximum(self.bucket_mass, 1e-9)  # no word of the corpus meets an empty bucket
@@ -95,11 +122,26 @@ class Vocabulary:
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         """Leaves of words given by hash."""
-        out = (len(self.words) + words % np.uint64(self.buckets)).astype(np.int64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.sorted, words), len(self.words) - 1)
-            known = self.sorted[at] == words
-            out[known] = self.order[at[known]]
+        n = len(self.words)
+        if not n:
+            return bucket_of(words, self.buckets)
+        at = np.minimum(self.begin.take((words >> self.shift).astype(np.int64)), n - 1)
+        met = self.sorted.take(at)
+        out = self.order.take(at)
+        left = np.flatnonzero(met != words)
+        beyond = met[left] > words[left]
+        while len(left):  # those whose place is not yet passed look at the next one
+            out[left[beyond]] = -1
+            left = left[~beyond]
+            at[left] += 1
+            out[left[at[left] == n]] = -1
+            left = left[at[left] < n]
+            met, wanted = self.sorted.take(at[left]), words[left]
+            found = met == wanted
+            out[left[found]] = self.order.take(at[left[found]])
+            left, beyond = left[~found], met[~found] > wanted[~found]
+        rare = np.flatnonzero(out < 0)
+        out[rare] = n + bucket_of(words[rare], self.buckets)
         return out
 
 
@@ -113,11 +155,7 @@ def hashed(texts: pa.Array | list[str | None]) -> Block:
 
 
 #: Words handled at once, so that what is gathered for their ways through the tree stays in a core's cache.
-_AT_ONCE = 4096
-
-
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
-    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+_AT_ONCE = 16384
 
 
 class Network:
@@ -139,49 +177,70 @@ class Network:
         at = np.ascontiguousarray(context.T)
         for lane in range(len(places[0])):
             total = sum(p[lane].take(c) for p, c in zip(places, at, strict=True))
-            out[lane] = 1 - 2 / (1 + np.exp(np.clip(2 * total, -60, 60)))  # tanh, which is slow by itself
+            out[lane] = 1 - 2 / (1 + np.exp(np.minimum(2 * total, 60)))  # tanh, which is slow by itself
         return out
 
-    def log_words(self, tree: Tree, hidden: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+    def log_words(self, tree: Tree, context: np.ndarray, leaves: np.ndarray) -> np.ndarray:
         """log p(leaf | context) of each word."""
-        if not len(leaves):
-            return np.empty(0, np.float32)
-        fork, side, depth, begin = tree.paths(leaves)
-        z = side * sum(np.repeat(h, depth) * w.take(fork) for h, w in zip(hidden, self.parts["forks"], strict=True))
-        return -np.add.reduceat(np.log(1 + np.exp(-np.clip(z, -80, 80))), begin)
-
-    def _pull(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, moved: dict[str, np.ndarray]) -> None:
-        """Adds to moved where some words pull each array, small pieces of them at a time."""
-        forks = self.parts["forks"]
-        met, pulls, backs = [], [[] for _ in forks], [[] for _ in forks[1:]]
-        for k in range(0, len(leaves), _AT_ONCE):
-            h = self.hidden(context[k : k + _AT_ONCE])
-            fork, side, depth, begin = tree.paths(leaves[k : k + _AT_ONCE])
-            seen, weights = [np.repeat(x, depth) for x in h], [w.take(fork) for w in forks]
-            z = side * sum(x * w for x, w in zip(seen, weights, strict=True))
-            pull = side / (1 + np.exp(np.clip(z, -80, 80)))
-            met.append(fork)
-            for lane, x in enumerate(seen):
-                pulls[lane].append(pull * x)
-            for lane, back in enumerate(backs):
-                back.append(np.add.reduceat(pull * weights[lane], begin) * (1 - h[lane] * h[lane]))
-        columns = {"forks": (met, pulls)} | {f"place {place}": ([c], backs) for place, c in enumerate(np.ascontiguousarray(context.T))}
-        for name, (at, lanes) in columns.items():
-            at, size = _joined(at), len(self.used[name])
-            self.used[name] += np.bincount(at, minlength=size)
-            for lane, parts in enumerate(lanes):
-                moved[name][lane] += np.bincount(at, _joined(parts), size)
+        order = np.argsort(tree.rank[leaves])
+        hidden, forks = self.hidden(context[order]), self.parts["forks"]
+        total = np.zeros(len(leaves), np.float32)
+        for fork, side, _, which in tree.levels(leaves[order]):
+            each = fork.take(which)
+            z = forks[-1].take(each)
+            for h, w in zip(hidden[:-1], forks, strict=False):
+                z += h[: len(z)] * w.take(each)
+            z *= np.negative(side).take(which)
+            total[: len(z)] -= np.log(1 + np.exp(np.minimum(z, 80, out=z), out=z))
+        out = np.empty_like(total)
+        out[order] = total
+        return out
+
+    def _pull(self, tree: Tree, context: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where some words pull: their contexts by place and what comes back to those; forks, how many words met each, and
+        what comes to it. A fork is named once for words side by side that meet it."""
+        order = np.argsort(tree.rank[leaves])
+        context = context[order]
+        h, weights = self.hidden(context), self.parts["forks"]
+        back = np.zeros((len(h) - 1, len(leaves)), np.float32)
+        w, products = np.empty((2, *h.shape), np.float32)
+        forks, met, pulls = [], [], []
+        for fork, side, begin, which in tree.levels(leaves[order]):
+            each, side = fork.take(which), side.take(which)
+            n, new = len(each), _changes(fork)
+            some, seen, product = w[:, :n], h[:, :n], products[:, :n]
+            for lane, row in enumerate(weights):
+                row.take(each, out=some[lane], mode="clip")
+            z = np.multiply(seen, some, out=product).sum(0)
+            z *= side
+            pull = side / (1 + np.exp(np.minimum(z, 80, out=z), out=z))
+            begin = begin[new]
+            forks.append(fork[new])
+            met.append(np.diff(begin, append=n))
+            pulls.append(np.add.reduceat(np.multiply(seen, pull, out=product), begin, axis=1))
+            back[:, :n] += np.multiply(some[:-1], pull, out=product[:-1])
+        return np.ascontiguousarray(context.T), back * (1 - h[:-1] * h[:-1]), np.concatenate(forks), np.concatenate(met), np.concatenate(pulls, 1)
 
     def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One step on a batch of words. A column's steps get shorter with what it has moved before."""
-        moved = {name: np.zeros(x.shape) for name, x in self.parts.items()}
-        # Whole arrays are added up once for a quarter as many words as they have columns, so the cost of a word stays as the vocabulary grows.
-        some = _AT_ONCE * max(1, len(moved["forks"][0]) // (4 * _AT_ONCE))
-        for k in range(0, len(leaves), some):
-            self._pull(tree, context[k : k + some], leaves[k : k + some], moved)
-        for name, total in moved.items():
-            self.past[name] += np.square(total).sum(0).astype(np.float32)
-            self.parts[name] += (total * (rate / np.sqrt(self.past[name]))).astype(np.float32)
+        if not len(leaves):
+            return
+        pieces = -(-len(leaves) // _AT_ONCE)
+        pulled = [self._pull(tree, *piece) for piece in zip(np.array_split(context, pieces), np.array_split(leaves, pieces), strict=True)]
+        places, back, forks, met, pulls = (np.concatenate(x, -1) for x in zip(*pulled, strict=True))
+        self._move("forks", forks, met, pulls, rate)
+        for place, at in enumerate(places):
+            self._move(f"place {place}", at, None, back, rate)
+
+    def _move(self, name: str, at: np.ndarray, met: np.ndarray | None, pulls: np.ndarray, rate: float) -> None:
+        """Adds up what pulls at each column and moves those that were met."""
+        part, past = self.parts[name], self.past[name]
+        used = np.bincount(at, met, part.shape[1])
+        columns = np.flatnonzero(used)
+        self.used[name] += used
+        total = np.stack([np.bincount(at, lane, part.shape[1]).take(columns) for lane in pulls])
+        past[columns] += np.square(total).sum(0).astype(np.float32)
+        part[:, columns] += (total * (rate / np.sqrt(past[columns]))).astype(np.float32)
 
 
 def contexts(vocabulary: Vocabulary, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,7 +250,7 @@ def contexts(vocabulary: Vocabulary, block: Block) -> tuple[np.ndarray, np.ndarr
     at = np.arange(len(ids)) + reach * (block.doc + 1)
     padded = np.full(len(ids) + reach * (len(block.lengths) + 1), vocabulary.edge, np.int64)
     padded[at] = ids
-    return ids, np.stack([padded[at + p] for p in _PLACES], 1), block.lengths
+    return ids, np.stack([padded[at + p] for p in _PLACES]).T, block.lengths
 
 
 def vocabulary_size(words: int, least: int) -> int:
@@ -287,7 +346,7 @@ def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.n
     logs = np.empty(len(ids), np.float64)
     for at in range(0, len(ids), batch):
         some = slice(at, at + batch)
-        logs[some] = net.log_words(vocabulary.tree, net.hidden(context[some]), ids[some])
+        logs[some] = net.log_words(vocabulary.tree, context[some], ids[some])
     ends = lengths.cumsum()
     sums = np.concatenate([[0.0], logs.cumsum()])
     return lengths, sums[ends] - sums[ends - lengths]

@@ -193,6 +193,76 @@ def test_rare_words_have_their_own_share(spark):
     assert all(abs(by_bucket[b, 1][0] - by_bucket[b, 0][0] - np.log(2)) < 1e-4 for b in both)
 
 
+def small_network(words, texts, buckets=3):
+    counts = Counter(w for t in texts for w in t.encode().split())
+    v = lm_score.Vocabulary(hashes(words), np.array([counts[w] + 1 for w in words], float), 4.0, buckets=buckets)
+    net = lm_score.Network(v)
+    rng = np.random.default_rng(4)
+    net.parts = {k: x + rng.standard_normal(x.shape).astype(np.float32) * 0.5 for k, x in net.parts.items()}
+    return v, net
+
+
+def test_a_training_step_equals_direct_sums(monkeypatch):
+    """Pulls of each word at each fork and place, one by one in Python, whatever the pieces of a batch are."""
+    monkeypatch.setattr(lm_score, "_AT_ONCE", 50)
+    rng = random.Random(5)
+    words = [f"w{k}".encode() for k in range(30)]
+    texts = [" ".join(rng.choices([f"w{int(40 * rng.random() ** 2)}" for _ in range(9)], k=rng.randrange(0, 40))) for _ in range(12)]
+    v, net = small_network(words, texts)
+    ids, context, _ = lm_score.contexts(v, lm_score.hashed(texts))
+    assert len(ids) > 120
+    moved = {name: np.zeros(x.shape) for name, x in net.parts.items()}
+    used = {name: np.zeros(x.shape[1]) for name, x in net.parts.items()}
+    for leaf, around in zip(ids.tolist(), context.tolist(), strict=True):
+        h = np.append(np.tanh(sum(net.parts[f"place {j}"][:, w].astype(float) for j, w in enumerate(around))), 1.0)
+        back = np.zeros(len(h))
+        for at in range(v.tree.first[leaf], v.tree.first[leaf] + v.tree.depth[leaf]):
+            fork, side = v.tree.fork[at], v.tree.side[at]
+            weights = net.parts["forks"][:, fork].astype(float)
+            pull = side / (1 + np.exp(side * (h @ weights)))
+            moved["forks"][:, fork] += pull * h
+            used["forks"][fork] += 1
+            back += pull * weights
+        for j, w in enumerate(around):
+            moved[f"place {j}"][:, w] += (back * (1 - h * h))[:-1]
+            used[f"place {j}"][w] += 1
+    expected = {k: x + moved[k] * 0.3 / np.sqrt(1e-6 + np.square(moved[k]).sum(0)) for k, x in net.parts.items()}
+    net.learn(v.tree, context, ids, 0.3)
+    for name, x in expected.items():
+        assert np.allclose(net.parts[name], x, atol=1e-4)
+        assert (net.used[name] == used[name]).all()
+
+
+def test_a_training_step_adds_up_a_fork_once_for_neighbours(monkeypatch):
+    """Words below a fork lie side by side, so what is scattered over the forks is far less than a value for each word, fork and lane."""
+    rng = np.random.default_rng(6)
+    words = [f"w{k}".encode() for k in range(400)]
+    texts = [" ".join(f"w{int(k)}" for k in 400 * rng.random(3000) ** 3) for _ in range(3)]
+    v, net = small_network(words, texts)
+    ids, context, _ = lm_score.contexts(v, lm_score.hashed(texts))
+    ways, lanes, added = int(v.tree.depth[ids].sum()), len(net.parts["forks"]), []
+    plain = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **k: (added.append(len(x)), plain(x, *a, **k))[1])
+    net.learn(v.tree, context, ids, 0.3)
+    assert net.used["forks"].sum() == ways
+    places = 4 * lanes * len(ids)
+    assert sum(added) - places < 0.5 * ways * lanes
+
+
+def test_words_are_found_by_the_first_bits_of_their_hashes():
+    rng = np.random.default_rng(7)
+    top = 2**64 - 1
+    for known in ([], [5], [0, top], [top - 2, top - 1, top], [0, 1, 2, 3, 2**63, 2**63 + 1], rng.integers(0, 2**64, 500, np.uint64).tolist()):
+        known = np.array(known, np.uint64)
+        rng.shuffle(known)
+        v = lm_score.Vocabulary(known, np.ones(len(known)), 9.0, buckets=7)
+        near = [(int(w) + d) % 2**64 for w in known for d in (-1, 0, 1)]
+        asked = np.array([*near, 0, top, 2**62, *rng.integers(0, 2**64, 50, np.uint64).tolist()], np.uint64)
+        place = {int(w): k for k, w in enumerate(known)}
+        assert v.ids(asked).tolist() == [place.get(int(w), len(known) + int(w) % 7) for w in asked]
+        assert v.ids(asked[:0]).tolist() == []
+
+
 def test_network_grows_with_the_corpus():
     assert lm_score.vocabulary_size(1000, 8192) == 8192
     assert lm_score.vocabulary_size(5_000_000_000, 8192) > 2 * lm_score.vocabulary_size(1_000_000_000, 8192) * 0.99
