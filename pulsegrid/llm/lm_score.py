@@ -154,7 +154,8 @@ def hashed(texts: pa.Array | list[str | None]) -> Block:
     return Block(texts, True)
 
 
-#: Words handled at once, so that what is gathered for their ways through the tree stays in a core's cache.
+#: Words handled at once, neighbours in the tree of all in a batch, so that what is gathered for their ways through it stays
+#: in a core's cache.
 _AT_ONCE = 16384
 
 
@@ -181,31 +182,26 @@ class Network:
         return out
 
     def log_words(self, tree: Tree, context: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-        """log p(leaf | context) of each word."""
-        order = np.argsort(tree.rank[leaves])
-        hidden, forks = self.hidden(context[order]), self.parts["forks"]
+        """log p(leaf | context) of each word, in the order of rank."""
+        hidden, forks = self.hidden(context), self.parts["forks"]
         total = np.zeros(len(leaves), np.float32)
-        for fork, side, _, which in tree.levels(leaves[order]):
+        for fork, side, _, which in tree.levels(leaves):
             each = fork.take(which)
             z = forks[-1].take(each)
             for h, w in zip(hidden[:-1], forks, strict=False):
                 z += h[: len(z)] * w.take(each)
             z *= np.negative(side).take(which)
             total[: len(z)] -= np.log(1 + np.exp(np.minimum(z, 80, out=z), out=z))
-        out = np.empty_like(total)
-        out[order] = total
-        return out
+        return total
 
     def _pull(self, tree: Tree, context: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Where some words pull: their contexts by place and what comes back to those; forks, how many words met each, and
+        """Where some words pull, in the order of rank: what comes back to their contexts; forks, how many words met each, and
         what comes to it. A fork is named once for words side by side that meet it."""
-        order = np.argsort(tree.rank[leaves])
-        context = context[order]
         h, weights = self.hidden(context), self.parts["forks"]
         back = np.zeros((len(h) - 1, len(leaves)), np.float32)
         w, products = np.empty((2, *h.shape), np.float32)
         forks, met, pulls = [], [], []
-        for fork, side, begin, which in tree.levels(leaves[order]):
+        for fork, side, begin, which in tree.levels(leaves):
             each, side = fork.take(which), side.take(which)
             n, new = len(each), _changes(fork)
             some, seen, product = w[:, :n], h[:, :n], products[:, :n]
@@ -219,17 +215,18 @@ class Network:
             met.append(np.diff(begin, append=n))
             pulls.append(np.add.reduceat(np.multiply(seen, pull, out=product), begin, axis=1))
             back[:, :n] += np.multiply(some[:-1], pull, out=product[:-1])
-        return np.ascontiguousarray(context.T), back * (1 - h[:-1] * h[:-1]), np.concatenate(forks), np.concatenate(met), np.concatenate(pulls, 1)
+        return back * (1 - h[:-1] * h[:-1]), np.concatenate(forks), np.concatenate(met), np.concatenate(pulls, 1)
 
     def learn(self, tree: Tree, context: np.ndarray, leaves: np.ndarray, rate: float) -> None:
         """One step on a batch of words. A column's steps get shorter with what it has moved before."""
         if not len(leaves):
             return
-        pieces = -(-len(leaves) // _AT_ONCE)
-        pulled = [self._pull(tree, *piece) for piece in zip(np.array_split(context, pieces), np.array_split(leaves, pieces), strict=True)]
-        places, back, forks, met, pulls = (np.concatenate(x, -1) for x in zip(*pulled, strict=True))
+        order = np.argsort(tree.rank.take(leaves))
+        context, leaves = context.T.take(order, 1).T, leaves.take(order)
+        pulled = [self._pull(tree, context[k : k + _AT_ONCE], leaves[k : k + _AT_ONCE]) for k in range(0, len(leaves), _AT_ONCE)]
+        back, forks, met, pulls = (np.concatenate(x, -1) for x in zip(*pulled, strict=True))
         self._move("forks", forks, met, pulls, rate)
-        for place, at in enumerate(places):
+        for place, at in enumerate(context.T):
             self._move(f"place {place}", at, None, back, rate)
 
     def _move(self, name: str, at: np.ndarray, met: np.ndarray | None, pulls: np.ndarray, rate: float) -> None:
@@ -344,9 +341,11 @@ def log_likelihoods(vocabulary: Vocabulary, net: Network, texts: pa.Array | list
 
 def _summed(vocabulary: Vocabulary, net: Network, ids: np.ndarray, context: np.ndarray, lengths: np.ndarray, batch: int = _AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
     logs = np.empty(len(ids), np.float64)
+    order = np.argsort(vocabulary.tree.rank.take(ids))
+    places = np.ascontiguousarray(context.T)
     for at in range(0, len(ids), batch):
-        some = slice(at, at + batch)
-        logs[some] = net.log_words(vocabulary.tree, context[some], ids[some])
+        some = order[at : at + batch]
+        logs[some] = net.log_words(vocabulary.tree, places.take(some, 1).T, ids.take(some))
     ends = lengths.cumsum()
     sums = np.concatenate([[0.0], logs.cumsum()])
     return lengths, sums[ends] - sums[ends - lengths]
